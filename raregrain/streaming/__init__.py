@@ -1,0 +1,5 @@
+"""No streaming operators: every capability covered here is batch work.
+
+A fitted ``PipelineModel`` scores a streaming frame unchanged, so nothing
+needs to be built for it.
+"""
