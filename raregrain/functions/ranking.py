@@ -134,16 +134,18 @@ def id_rank(df: DataFrame, id_col: str, out: str = "rn", buckets: int | None = N
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tuple | list = (),
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact interpolated quantiles per group: {output column: probability}.
 
+    ``weight`` names an integer multiplicity of the rows.
+
     ``percentile``/``median`` keep every distinct value of a group in one
     task; here equal values are counted first and the two order statistics
     around each position are picked from bucketed running counts.
     """
     by = list(by)
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*by, value)
-              .agg(F.count(F.lit(1)).alias("__c")))
+    times = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(times.alias("__c"))
     run = running_sums(counts, value, {"__cum": "__c"}, by, buckets=buckets)
     if by:
         run = attach(run, counts.groupBy(*by).agg(F.sum("__c").alias("__total")), by)

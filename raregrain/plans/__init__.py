@@ -1,4 +1,4 @@
 """Named queries over the driver tables, each with its oracle text where SQL can say it."""
 
-from . import cleaning_plans, describe_plans  # noqa: F401
+from . import cleaning_plans, describe_plans, feature_plans, metric_plans  # noqa: F401
 from .base import ORACLES, QUERIES  # noqa: F401

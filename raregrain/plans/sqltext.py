@@ -64,3 +64,48 @@ def scored(*ctes: str) -> str:
 
 def vec(*ctes: str) -> str:
     return "WITH " + ",\n".join([VECTORS, *ctes]) + "\n"
+
+
+def _strata(n_folds: int = 5) -> str:
+    from ..functions.hashing import hash_sql
+    return f"""fd AS (SELECT *, ((rn - 1) * {n_folds} // n_c)::INT AS fold, rn <= ceil(round(0.2::DOUBLE * n_c, 9)) AS is_test
+  FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {hash_sql('row_id')}, row_id) AS rn,
+          count(*) OVER (PARTITION BY label) AS n_c FROM clean))"""
+
+
+FOLDS = _strata()
+
+IMPUTED = """tr AS (SELECT * FROM fd WHERE fold <> 0),
+ m_sub AS (SELECT country, subregion, avg(altitude) AS m FROM tr WHERE altitude IS NOT NULL GROUP BY 1, 2),
+ m_cty AS (SELECT country, avg(altitude) AS m FROM tr WHERE altitude IS NOT NULL GROUP BY 1),
+ m_all AS (SELECT median(altitude) AS alt, median(moisture) AS moist FROM tr),
+ imp AS (SELECT fd.row_id, fd.label, fd.fold, fd.c1, fd.c2, fd.color, fd.processing, fd.variety,
+   coalesce(macro_area, 'Unknown') AS macro_area,
+   round_even(coalesce(fd.altitude, s.m, c.m, m_all.alt), 0) AS altitude,
+   coalesce(fd.moisture, m_all.moist) AS moisture, (fd.moisture IS NULL)::INT AS moisture_missing
+  FROM fd CROSS JOIN m_all
+  LEFT JOIN m_sub s ON s.country IS NOT DISTINCT FROM fd.country AND s.subregion IS NOT DISTINCT FROM fd.subregion
+  LEFT JOIN m_cty c ON c.country = fd.country LEFT JOIN area a ON a.country = fd.country)"""
+
+LEVELS = """lv AS (SELECT * FROM (SELECT variable, level, count(*) AS n,
+     row_number() OVER (PARTITION BY variable ORDER BY count(*) DESC, level DESC) AS r,
+     count(*) OVER (PARTITION BY variable) AS n_levels
+   FROM (SELECT 'macro_area' AS variable, macro_area AS level FROM imp WHERE fold <> 0
+     UNION ALL SELECT 'color', color FROM imp WHERE fold <> 0
+     UNION ALL SELECT 'processing', processing FROM imp WHERE fold <> 0
+     UNION ALL SELECT 'variety', variety FROM imp WHERE fold <> 0) GROUP BY 1, 2)
+   WHERE n_levels <= 10 OR r <= 9),
+ cats AS (SELECT row_id, 'macro_area' AS variable, macro_area AS level FROM imp UNION ALL
+   SELECT row_id, 'color', color FROM imp UNION ALL SELECT row_id, 'processing', processing FROM imp
+   UNION ALL SELECT row_id, 'variety', variety FROM imp),
+ pooled AS (SELECT c.row_id, c.variable, CASE WHEN lv.level IS NOT NULL THEN c.level
+     WHEN (SELECT max(n_levels) FROM lv WHERE lv.variable = c.variable) > 10 THEN 'Rare' END AS level
+   FROM cats c LEFT JOIN lv ON lv.variable = c.variable AND lv.level = c.level)"""
+
+
+def folds(*ctes: str) -> str:
+    return lots(FOLDS, *ctes)
+
+
+def imputed(*ctes: str) -> str:
+    return lots(AREA, FOLDS, IMPUTED, *ctes)

@@ -7,6 +7,7 @@ def make_session(cpus: str = "8") -> SparkSession:
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.driver.memory", "12g")
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
