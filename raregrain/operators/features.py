@@ -286,7 +286,8 @@ class FoldFeatures:
     Fit ``f`` >= 0 learns from the rows of every other fold, fit -1 from all
     rows.  Medians, group means, scaling and levels of all fits come from
     shared aggregations; no job is repeated per fold.  ``df`` has a ``fold``
-    column; pass ``fits`` to restrict to some fits.
+    column; rows without a fold (the hold-out) are never learned from and are
+    carried by fit -1 only.
     """
 
     def __init__(self, df: DataFrame, area_map: DataFrame, fits: list[int], *, engineer=False, reference=None,
@@ -312,7 +313,7 @@ class FoldFeatures:
         def per_fit(name):
             pairs = [x for f in self.fits for x in (F.lit(f), F.lit(med.get((f, name))).cast("double"))]
             return F.element_at(F.create_map(*pairs), F.col("fit"))
-        d = df.withColumn("fit", F.explode(outs))
+        d = df.withColumn("fit", F.explode(outs)).where("fold IS NOT NULL OR fit = -1")
         d = attach(attach(d, by_sub, ["fit", *S.GEO]), by_country, ["fit", "country"])
         d = d.withColumns({
             altitude: F.bround(F.coalesce(F.col(altitude), F.col("__mean_sub"), F.col("__mean_country"),
