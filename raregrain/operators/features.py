@@ -169,7 +169,10 @@ class AreaMapper(Transformer, _Stateful):
 
 
 class DefectEngineer(Transformer, _Stateful):
-    """log1p counts, has-defect flag and the log altitude / moisture ratio."""
+    """log1p counts, has-defect flag and the log altitude / moisture ratio.
+
+    A negative ratio has no logarithm and counts as 0.
+    """
 
     _fields = ("drop_raw",)
 
@@ -180,7 +183,8 @@ class DefectEngineer(Transformer, _Stateful):
     def _transform(self, dataset):
         d = dataset.withColumns({
             "log_c1": F.log1p("c1"), "log_c2": F.log1p("c2"), "has_c1": (F.col("c1") > 0).cast("int"),
-            "log_altitude_moisture": F.log1p(F.col("altitude") / (F.col("moisture") + F.lit(1e-4)))})
+            "log_altitude_moisture": F.log1p(
+                F.greatest(F.col("altitude") / (F.col("moisture") + F.lit(1e-4)), F.lit(0.0)))})
         return d.drop("c1", "c2") if self.drop_raw else d
 
 
@@ -192,7 +196,8 @@ class Encoder(Estimator, _Stateful):
     ``max_categories - 1`` most frequent ones (on equal counts the larger
     name) and pools the rest as ``Rare``.  Unseen levels go to ``Rare`` where
     it exists, else all 0/1 columns are 0.  ``reference`` names one level per
-    column whose 0/1 column is left out.
+    column whose 0/1 column is left out; if that level was pooled, the pooled
+    column is left out, so that the columns never add up to the intercept.
     """
 
     _fields = ("numeric", "categorical", "scale", "reference", "max_categories")
@@ -226,13 +231,19 @@ class EncoderModel(Model, _Stateful):
                 x = (x - F.lit(m)) / F.lit(s) if s else F.lit(0.0)
             out[c] = x
         for c in self.categorical:
+            ref = self._reference_level(c)
             for lv in self.levels[c]:
-                if self.reference.get(c) != lv:
+                if ref != lv:
                     out[f"{c}_{lv}"] = F.coalesce((F.col(c) == lv).cast("double"), F.lit(0.0))
-            if self.pooled[c]:
+            if self.pooled[c] and ref != S.RARE:
                 out[f"{c}_{S.RARE}"] = F.coalesce((~F.col(c).isin(*self.levels[c])).cast("double"), F.lit(0.0))
         return out
 
+    def _reference_level(self, c):
+        """The level without a column; a pooled reference level means the pooled column."""
+        ref = self.reference.get(c)
+        return S.RARE if ref is not None and self.pooled[c] and ref not in self.levels[c] else ref
+
     @property
     def feature_names(self) -> list[str]:
         names = list(self._columns())

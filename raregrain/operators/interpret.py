@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +12,7 @@ from .. import schema as S
 from ..functions.scratch import scratch_path
 from . import metrics as M
 from .cleaning import raw_feature
+from .features import FoldFeatures
 from .sampling import permuted_donors
 
 
@@ -158,6 +159,34 @@ def permutation_drops(rows: DataFrame, names: list[str], score: Callable[[DataFr
             .groupBy("fold", named).agg(F.avg(F.col("base") - F.col("auprc")).alias("drop")))
 
 
+def fold_scorer(models: dict) -> Callable[[DataFrame], DataFrame]:
+    """Scorer for ``permutation_drops`` that uses the model of each held-out fold."""
+    def scorer(rows):
+        out = None
+        for f, m in models.items():
+            v = rows.where(F.col("fold") == f).withColumn("features", array_to_vector("xs"))
+            s = m.transform(v).withColumn("score", vector_to_array("probability")[1]).select(*rows.columns, "score")
+            out = s if out is None else out.unionByName(s)
+        return out
+    return scorer
+
+
+def encoded_importance(ff: FoldFeatures, fit: Callable, folds: list[int], repeats: int = 20, seed: int = S.SEED) -> DataFrame:
+    """Out-of-fold permutation importance of every encoded column of a ``FoldFeatures``.
+
+    Folds may keep different levels, so each fold runs over its own columns.
+    ``fit`` maps the encoded training rows to a fitted classifier.
+    """
+    out = None
+    for f in folds:
+        d = ff.encoded(f)
+        model = fit(d.where(F.col("fold") != f))
+        rows = d.where(F.col("fold") == f).select(S.ROW_ID, S.LABEL, "fold", vector_to_array("features").alias("xs"))
+        drops = permutation_drops(rows, ff.encoder(f).feature_names, fold_scorer({f: model}), repeats, seed)
+        out = drops if out is None else out.unionByName(drops)
+    return summarise_importance(out)
+
+
 def summarise_importance(drops: DataFrame) -> DataFrame:
     """Mean, population sd and number of folds per feature, with its source variable."""
     return (drops.groupBy("feature").agg(F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"),

@@ -136,15 +136,17 @@ def plain_parts(df: DataFrame) -> Callable[[int], tuple[DataFrame, DataFrame]]:
 def grid_search(parts, candidates: list, folds: list[int], weigh=weigh_balanced) -> tuple[int, DataFrame]:
     """(best index, table of mean average precision); the first best candidate wins.
 
+    ``weigh`` is one weighting, or a list with one per candidate.
     ``parts`` belong to inner folds, encoded from inner training rows only.
     All candidates and folds are scored in one evaluation job.
     """
     jobs = [(i, f) for f in folds for i in range(len(candidates))]
-    prepared = {f: (weigh(parts(f)[0]).persist(), parts(f)[1]) for f in folds}
+    weighs = weigh if isinstance(weigh, list) else [weigh] * len(candidates)
+    prepared = {f: (parts(f)[0].persist(), parts(f)[1]) for f in folds}
 
     def one(job):
         i, f = job
-        model = candidates[i].fit(prepared[f][0])
+        model = candidates[i].fit(weighs[i](prepared[f][0]))
         return score(model, prepared[f][1]).withColumn("candidate", F.lit(i))
     out = None
     for s in _parallel(one, jobs):
@@ -158,6 +160,23 @@ def grid_search(parts, candidates: list, folds: list[int], weigh=weigh_balanced)
     return -best["c"], table
 
 
+def boosted_search(parts, folds: list[int], grid: list[dict] = BOOST_GRID) -> tuple[int, DataFrame]:
+    """Grid over depth, step, number of trees and positive weight (a factor of n0/n1)."""
+    models = [boosted(**{k: v for k, v in g.items() if k != "positive"}) for g in grid]
+    return grid_search(parts, models, folds, [weigh_positives(g["positive"]) for g in grid])
+
+
+def cross_validated(models: dict, parts, folds: list[int], threshold: float = 0.5, weigh=weigh_balanced) -> DataFrame:
+    """Mean and population sd over folds of four metrics, one column pair per model."""
+    out = None
+    for name, est in models.items():
+        s = oof_scores(parts, est, folds, weigh).withColumn("model", F.lit(name))
+        out = s if out is None else out.unionByName(s)
+    by = ["model", "fold"]
+    m = M.evaluate_scores(M.score_counts(out, by), F.lit(threshold), by)
+    return M.fold_summary(m, ["roc_auc", "auprc", "f1", "balanced_accuracy"], list(models))
+
+
 def eliminate_features(names: list[str], parts_of: Callable, make, folds: list[int], min_features: int = 5,
                        step: int = 1):
     """Recursive elimination: drop the smallest |coefficient| until ``min_features`` are left.

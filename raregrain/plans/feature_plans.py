@@ -82,12 +82,12 @@ def _prepared(spark, sf, engineer=False):
 
 
 _ENG = """SELECT row_id, round(ln(1 + c1), 6) AS log_c1, round(ln(1 + c2), 6) AS log_c2, (c1 > 0)::INT AS has_c1,
-  round(ln(1 + altitude / (moisture + 0.0001::DOUBLE)), 6) AS log_altitude_moisture FROM imp WHERE altitude >= 0"""
+  round(ln(1 + greatest(altitude / (moisture + 0.0001::DOUBLE), 0)), 6) AS log_altitude_moisture FROM imp"""
 
 
 @query("engineer", Q.imputed() + _ENG)
 def _(spark, sf):
-    d = _prepared(spark, sf, engineer=True).where("altitude >= 0")
+    d = _prepared(spark, sf, engineer=True)
     return rounded(d.select("row_id", "log_c1", "log_c2", "has_c1", "log_altitude_moisture"))
 
 
@@ -126,7 +126,8 @@ def _(spark, sf):
 
 @query("one_hot_reference", Q.imputed(Q.LEVELS) + """SELECT row_id, variable || '_' || level AS feature FROM pooled
   WHERE level IS NOT NULL AND NOT ((variable = 'macro_area' AND level = 'ASIA') OR (variable = 'color' AND level = 'o')
-    OR (variable = 'processing' AND level = 'Urgent') OR (variable = 'variety' AND level = 'Brand#11'))""")
+    OR (variable = 'processing' AND level = 'Urgent') OR (variable = 'variety' AND level = CASE WHEN EXISTS
+      (SELECT 1 FROM lv WHERE variable = 'variety' AND level = 'Brand#11') THEN 'Brand#11' ELSE 'Rare' END))""")
 def _(spark, sf):
     return _one_hot(spark, sf, T.REFERENCE_LEVELS)
 

@@ -6,9 +6,8 @@ must hold (optimality, coverage, additivity) and the row counts they hold on.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -22,12 +21,11 @@ from ..operators import models as L
 from ..operators import resample as R
 from ..operators import sampling as V
 from ..operators.cleaning import model_matrix
-from ..operators.describe import class_medians
 from ..sources import tables as T
 from . import sqltext as Q
 from .base import clean_lots, query, rounded
 from .feature_plans import fold_features
-from .structure_plans import _NUM, _flags, flags_sql
+from .structure_plans import _flags, flags_sql
 
 E6 = T.EMBED_DIMS
 N_VEC = "SELECT count(*) FROM embeddings"
@@ -66,8 +64,7 @@ def _(spark, sf):
     names = ff.encoder(-1).feature_names
     full = X.EncoderModel(**{**ff.encoder(-1).state(), "reference": {}}).feature_names
     return _flags(spark, n, score_equations_zero=max(map(abs, g)) < 1e-4,
-                  all_levels_but_reference=len(full) - len(names) == sum(
-                      1 for c, lv in T.REFERENCE_LEVELS.items() if f"{c}_{lv}" in full))
+                  all_levels_but_reference=len(full) - len(names) == len(T.REFERENCE_LEVELS))
 
 
 @query("ridge_gradient", flags_sql(["gradient_is_penalty_slope", "intercept_not_penalised"], N_VEC))
@@ -202,7 +199,7 @@ def _(spark, sf):
 # --------------------------------------------------------------------------- search, trees
 @query("grid_best", flags_sql(["best_is_maximum", "first_wins", "one_score_per_candidate"], N_VEC))
 def _(spark, sf):
-    d = sensory(spark, sf, 2).withColumnRenamed("features", "features")
+    d = sensory(spark, sf, 2)
     grid = [L.decision_tree(**g) for g in ({"max_depth": 3, "min_leaf": 4}, {"max_depth": 3, "min_leaf": 4}, {"max_depth": 5, "min_leaf": 16})]
     best, table = L.grid_search(L.plain_parts(d), grid, [0, 1])
     ap = {r["candidate"]: r["mean_auprc"] for r in table.collect()}
@@ -233,6 +230,24 @@ def _(spark, sf):
                                          "feature string, lasso_coef double, abs_lasso_coef double")).orderBy(F.desc("abs_lasso_coef"))
 
 
+@query("boosted_grid", flags_sql(["one_score_per_candidate", "best_is_maximum"], N_VEC))
+def _(spark, sf):
+    d = sensory(spark, sf, 2)
+    grid = [g for g in L.BOOST_GRID if g["maxDepth"] == 3 and g["stepSize"] == 0.05 and g["trees"] == 150]
+    small = [{**g, "trees": 3} for g in grid]  # same weights and depth, fewer trees
+    best, table = L.boosted_search(L.plain_parts(d), [0, 1], small)
+    ap = {r["candidate"]: r["mean_auprc"] for r in table.collect()}
+    return _flags(spark, d.count(), one_score_per_candidate=len(ap) == 3, best_is_maximum=ap[best] == max(ap.values()))
+
+
+@query("second_track_cv")
+def _(spark, sf):
+    d = scaled_sensory(spark, sf)
+    w = float(d.count())
+    models = {"logit": L.logit("l2", L.reg_from_c(1.0, w), max_iter=50), "forest": L.random_forest(max_depth=5, trees=10, min_leaf=2)}
+    return rounded(L.cross_validated(models, L.plain_parts(d), [0, 1, 2, 3, 4]))
+
+
 @query("early_stop_count", flags_sql(["count_in_range", "count_from_median"], N_VEC))
 def _(spark, sf):
     d = sensory(spark, sf, 2)
@@ -272,16 +287,7 @@ def _(spark, sf):
     d = sensory(spark, sf, 2)
     parts = L.plain_parts(d)
     forest = L.random_forest(max_depth=5, trees=10)
-    fitted = {f: forest.fit(L.weigh_balanced(parts(f)[0])) for f in (0, 1)}
-
-    def scorer(rows):
-        out = None
-        for f, m in fitted.items():
-            v = rows.where(F.col("fold") == f).withColumn("features", array_to_vector("xs"))
-            s = m.transform(v).withColumn("score", vector_to_array("probability")[1]).drop(
-                "features", "probability", "rawPrediction", "prediction")
-            out = s if out is None else out.unionByName(s)
-        return out
+    scorer = I.fold_scorer({f: forest.fit(L.weigh_balanced(parts(f)[0])) for f in (0, 1)})
     rows = d.select("row_id", "label", "fold", vector_to_array("features").alias("xs"))
     summary = materialise(I.summarise_importance(I.permutation_drops(rows, E6, scorer, repeats=2)))
     keep = I.selected_columns(summary, 0.0) or E6

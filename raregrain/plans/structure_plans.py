@@ -23,7 +23,7 @@ _D2 = "((a.e1 - b.e1) * (a.e1 - b.e1) + (a.e2 - b.e2) * (a.e2 - b.e2) + (a.e3 -
 _PAIRS = f"pr AS (SELECT a.row_id AS id, b.row_id AS other, {_D2} AS d2 FROM vec a, vec b)"
 
 
-def tree(spark, sf, leaf_size=64):
+def tree(spark, sf, leaf_size=256):
     return P.build_tree(T.vectors(spark, sf), "row_id", P.Space(XYZ), leaf_size)
 
 
