@@ -49,7 +49,12 @@ def with_buckets(df: DataFrame, value: str, cuts: list[float], out: str = BUCKET
 
 
 def attach(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join on keys with NULL matching NULL, keeping one copy of the keys."""
+    """Join on keys with NULL matching NULL, keeping one copy of the keys.
+
+    A grouped ``side`` has no size estimate; pass it through ``materialise``
+    when ``df`` is large, so that the planner broadcasts it if it is small and
+    never shuffles ``df`` on a few hot keys.
+    """
     renamed = side.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
                           *[c for c in side.columns if c not in keys])
     cond = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
@@ -57,24 +62,28 @@ def attach(df: DataFrame, side: DataFrame, keys: list[str], how: str = "left") -
 
 
 def running_sums(df: DataFrame, value: str, sums: dict[str, str], by: tuple | list = (),
-                 descending: bool = False, buckets: int | None = None) -> DataFrame:
+                 descending: bool = False, buckets: int | None = None,
+                 totals: dict[str, str] | None = None) -> DataFrame:
     """Add inclusive running sums of columns in the order of ``value``.
 
-    ``df`` holds one row per (by, value), i.e. it was grouped before.  ``sums``
-    maps new column -> summed column.
+    ``df`` holds one row per (by, value), i.e. it was grouped before; ``by``
+    is never missing.  ``sums`` maps new column -> summed column; ``totals``
+    likewise adds the sum over the whole group, from the same bucket totals.
     """
-    by = list(by)
-    cuts = cut_points(df, value, buckets)
-    d = with_buckets(df, value, cuts)
-    totals = d.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"__t_{o}") for o, c in sums.items()])
+    by, totals = list(by), totals or {}
+    d = with_buckets(df, value, cut_points(df, value, buckets))
+    per = d.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"__t_{c}") for c in dict.fromkeys(
+        [*sums.values(), *totals.values()])])
     order_b = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
     before = Window.partitionBy(*by).orderBy(order_b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, BUCKET, *[
-        F.coalesce(F.sum(f"__t_{o}").over(before), F.lit(0)).alias(f"__o_{o}") for o in sums])
+    whole = Window.partitionBy(*by)
+    offsets = per.select(
+        *by, BUCKET, *[F.coalesce(F.sum(f"__t_{c}").over(before), F.lit(0)).alias(f"__o_{o}") for o, c in sums.items()],
+        *[F.sum(f"__t_{c}").over(whole).alias(o) for o, c in totals.items()])
     order_v = F.col(value).desc() if descending else F.col(value).asc()
     inside = Window.partitionBy(*by, BUCKET).orderBy(order_v).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumns({f"__w_{o}": F.sum(c).over(inside) for o, c in sums.items()})
-    d = attach(d, offsets, [*by, BUCKET])
+    d = d.join(offsets, [*by, BUCKET])
     d = d.withColumns({o: F.col(f"__w_{o}") + F.col(f"__o_{o}") for o in sums})
     return d.drop(BUCKET, *[f"__w_{o}" for o in sums], *[f"__o_{o}" for o in sums])
 
@@ -95,7 +104,7 @@ def hash_rank(df: DataFrame, hash_col: str, id_col: str, by: tuple | list = (),
     offsets = counts.select(*by, BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     inside = Window.partitionBy(*by, BUCKET).orderBy(hash_col, id_col)
     d = d.withColumn("__rn", F.row_number().over(inside))
-    return (attach(d, offsets, [*by, BUCKET])
+    return (d.join(offsets, [*by, BUCKET])
             .withColumn(out, F.col("__rn") + F.col("__off")).drop(BUCKET, "__rn", "__off"))
 
 
@@ -114,11 +123,11 @@ def value_rank(df: DataFrame, value: str, id_col: str, by: tuple | list = (), ou
     in_value = per_cell.withColumn("__off_id", F.coalesce(F.sum("__n").over(cells), F.lit(0)))
     per_value = per_cell.groupBy(*by, value).agg(F.sum("__n").alias("__nv"))
     ranked = running_sums(per_value, value, {"__cum": "__nv"}, by, buckets=buckets)
-    offs = attach(in_value, ranked, [*by, value]).select(
+    offs = in_value.join(ranked, [*by, value]).select(
         *by, value, id_b, (F.col("__off_id") + F.col("__cum") - F.col("__nv")).alias("__off"))
     inside = Window.partitionBy(*by, value, id_b).orderBy(id_col)
     d = d.withColumn("__rn", F.row_number().over(inside))
-    return (attach(d, offs, [*by, value, id_b])
+    return (d.join(offs, [*by, value, id_b])
             .withColumn(out, F.col("__rn") + F.col("__off")).drop(id_b, "__rn", "__off"))
 
 
@@ -129,7 +138,7 @@ def id_rank(df: DataFrame, id_col: str, out: str = "rn", buckets: int | None = N
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(BUCKET, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     d = d.withColumn("__rn", F.row_number().over(Window.partitionBy(BUCKET).orderBy(id_col)))
-    return (attach(d, offsets, [BUCKET])
+    return (d.join(offsets, BUCKET)
             .withColumn(out, F.col("__rn") + F.col("__off")).drop(BUCKET, "__rn", "__off"))
 
 
@@ -146,11 +155,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], by: tupl
     by = list(by)
     times = F.sum(weight) if weight else F.count(F.lit(1))
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(times.alias("__c"))
-    run = running_sums(counts, value, {"__cum": "__c"}, by, buckets=buckets)
-    if by:
-        run = attach(run, counts.groupBy(*by).agg(F.sum("__c").alias("__total")), by)
-    else:
-        run = run.withColumn("__total", F.lit(counts.agg(F.sum("__c")).first()[0]).cast("long"))
+    run = running_sums(counts, value, {"__cum": "__c"}, by, buckets=buckets, totals={"__total": "__c"})
     aggs = []
     for name, p in probs.items():
         pos = F.lit(float(p)) * (F.col("__total") - 1)

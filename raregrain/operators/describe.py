@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.ranking import attach, exact_quantiles, melt, running_sums, value_rank
+from ..functions.scratch import materialise
 from ..functions.special import two_sided_normal_p
 
 
@@ -83,7 +84,7 @@ def class_medians(df: DataFrame, cols: list[str], label: str = S.LABEL) -> DataF
     long = melt(df, [label], cols).where("value IS NOT NULL")
     med = exact_quantiles(long, "value", {"m": 0.5}, ["feature", label])
     means = long.groupBy("feature", label).agg(F.avg("value").alias("mean"))
-    both = attach(med, means, ["feature", label])
+    both = med.join(means, ["feature", label])
     return both.groupBy("feature").agg(
         F.max(F.when(F.col(label) == 0, F.col("m"))).alias("median_negative"),
         F.max(F.when(F.col(label) == 1, F.col("m"))).alias("median_positive"),
@@ -155,7 +156,7 @@ def share_above(df: DataFrame, col: str, cut: float) -> DataFrame:
 def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
     """Quartiles, 1.5 IQR whiskers (outermost points inside the fences), outlier count."""
     d = df.select(by, F.col(col).cast("double").alias("value")).where("value IS NOT NULL")
-    q = exact_quantiles(d, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
+    q = materialise(exact_quantiles(d, "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by]))
     fences = q.withColumn("lo", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).withColumn(
         "hi", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
     inside = F.col("value").between(F.col("lo"), F.col("hi"))

@@ -82,9 +82,8 @@ class GroupMeanImputer(Estimator, _Stateful):
 
     def _fit(self, dataset):
         known = dataset.select(self.country, self.subregion, self.col).where(F.col(self.col).isNotNull())
-        by_sub = known.groupBy(self.country, self.subregion).agg(
-            F.avg(self.col).alias("__mean_sub"))
-        by_country = known.groupBy(self.country).agg(F.avg(self.col).alias("__mean_country"))
+        by_sub = materialise(known.groupBy(self.country, self.subregion).agg(F.avg(self.col).alias("__mean_sub")))
+        by_country = materialise(known.groupBy(self.country).agg(F.avg(self.col).alias("__mean_country")))
         median = exact_medians(dataset, [self.col])[self.col]
         return GroupMeanImputerModel(self.country, self.subregion, self.col, by_sub, by_country, median)
 
@@ -112,8 +111,8 @@ def impute_for_exploration(df: DataFrame) -> DataFrame:
     """
     med = exact_medians(df, ["altitude", "moisture"])
     known = df.where("altitude IS NOT NULL")
-    by_sub = known.groupBy(*S.GEO).agg(F.avg("altitude").alias("__s"))
-    by_country = known.where("country IS NOT NULL").groupBy("country").agg(F.avg("altitude").alias("__c"))
+    by_sub = materialise(known.groupBy(*S.GEO).agg(F.avg("altitude").alias("__s")))
+    by_country = materialise(known.where("country IS NOT NULL").groupBy("country").agg(F.avg("altitude").alias("__c")))
     d = attach(attach(df, by_sub, S.GEO), by_country, ["country"])
     return d.withColumns({
         "altitude": F.coalesce("altitude", "__s", "__c", F.lit(med["altitude"]).cast("double")),
@@ -314,8 +313,9 @@ class FoldFeatures:
                   .groupBy("fold", "feature", "value").agg(F.count(F.lit(1)).alias("n")))
         rows = exact_quantiles(spread(counts), "value", {"m": 0.5}, ["fit", "feature"], weight="n").collect()
         med = {(r["fit"], r["feature"]): r["m"] for r in rows}
-        parts = (df.where(F.col(altitude).isNotNull()).groupBy("fold", *S.GEO)
-                 .agg(F.sum(altitude).alias("s"), F.count(altitude).alias("n")))
+        # written first, so that the joins below know its size
+        parts = materialise(df.where(F.col(altitude).isNotNull()).groupBy("fold", *S.GEO)
+                            .agg(F.sum(altitude).alias("s"), F.count(altitude).alias("n")))
 
         def means(keys, out):
             return spread(parts).groupBy("fit", *keys).agg((F.sum("s") / F.sum("n")).alias(out))

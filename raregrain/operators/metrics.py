@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.ranking import attach, exact_quantiles, running_sums
+from ..functions.ranking import running_sums
 from .sampling import bootstrap_counts, poisson_counts
 
 METRICS = ["precision", "recall", "f1", "balanced_accuracy", "roc_auc", "auprc"]
@@ -32,18 +32,10 @@ def score_counts(df: DataFrame, by: tuple | list = (), label: str = S.LABEL, sco
         F.sum(F.when(F.col(label) == 1, 0).otherwise(w)).cast("long").alias("n0"))
 
 
-def _with_totals(counts: DataFrame, by: list[str]) -> DataFrame:
-    aggs = [F.sum("n1").alias("P"), F.sum("n0").alias("N")]
-    if by:
-        return attach(counts, counts.groupBy(*by).agg(*aggs), by)
-    r = counts.agg(*aggs).first()
-    return counts.withColumns({"P": F.lit(r["P"]).cast("long"), "N": F.lit(r["N"]).cast("long")})
-
-
 def curve(counts: DataFrame, by: tuple | list = ()) -> DataFrame:
     """Running true and false positives by falling score, with the class totals P and N."""
-    by = list(by)
-    return _with_totals(running_sums(counts, "score", {"tp": "n1", "fp": "n0"}, by, descending=True), by)
+    return running_sums(counts, "score", {"tp": "n1", "fp": "n0"}, list(by), descending=True,
+                        totals={"P": "n1", "N": "n0"})
 
 
 def _ratio(a: Column, b: Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.hashing import MODULUS, portable_hash, portable_uniform
-from ..functions.ranking import attach, default_buckets, hash_rank, id_rank
+from ..functions.ranking import default_buckets, hash_rank, id_rank
 
 
 def _rank_cuts(df: DataFrame, label: str, id_col: str, seed: int,
@@ -172,4 +172,4 @@ def permuted_donors(df: DataFrame, cols: list[str], repeats: int, seed: int = S.
               .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))))
     copies = copies.withColumn("__h", portable_hash("__id", F.col("repeat") + (seed + 1)))
     donors = hash_rank(copies, "__h", "__id", [*by, "repeat"], "__pos").drop("__h", "__id")
-    return attach(home, donors, [*by, "__pos"], "inner").drop("__pos")
+    return home.join(donors, [*by, "__pos"]).drop("__pos")

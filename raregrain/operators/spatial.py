@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ranking import attach
+from ..functions.ranking import id_rank
 from ..functions.scratch import materialise
 
 MAX_DEPTH = 60
@@ -82,7 +82,7 @@ def build_tree(df: DataFrame, id_col: str, space: Space, leaf_size: int = 256) -
     # the smallest id names a group of equal points
     pts = src.groupBy(*space.all).agg(F.min("id").alias("pid"), F.count(F.lit(1)).alias("weight"))
     pts = materialise(pts)
-    rows = attach(src, pts.select(*space.all, "pid"), space.all, "inner").select("id", "pid")
+    rows = src.join(pts.select(*space.all, "pid"), space.all).select("id", "pid")
     cur = pts.withColumn("node", F.lit(1).cast("long"))
     levels = []
     depth = 0
@@ -244,7 +244,7 @@ def nearest(tree: Tree, k: int) -> DataFrame:
 
 def knn(tree: Tree, k: int) -> DataFrame:
     """(id, rank, neighbour, dist, xs): the k nearest other rows of every row, exact, ties by id."""
-    near = attach(tree.rows, nearest(tree, k + 1), ["pid"], "inner")
+    near = tree.rows.join(nearest(tree, k + 1), "pid")
     others = F.slice(F.filter("neighbours", lambda n: n["id"] != F.col("id")), 1, k)
     return (near.select("id", F.posexplode(others).alias("pos", "n"))
             .select("id", (F.col("pos") + 1).alias("rank"), F.col("n.id").alias("neighbour"),
@@ -254,7 +254,7 @@ def knn(tree: Tree, k: int) -> DataFrame:
 def k_distance(tree: Tree, k: int = 7) -> DataFrame:
     """(id, dist): distance to the k-th nearest row, the row itself counted as the first."""
     near = nearest(tree, k).select("pid", F.get("neighbours", F.lit(k - 1))["dist"].alias("dist"))
-    return attach(tree.rows, near, ["pid"], "inner").select("id", "dist")
+    return tree.rows.join(near, "pid").select("id", "dist")
 
 
 # --------------------------------------------------------------------------- radius work
@@ -327,7 +327,7 @@ def _reduce_in_radius(rp: RadiusPairs, points: DataFrame, value: str, how: str)
 def radius_counts(rp: RadiusPairs) -> DataFrame:
     """(id, n): rows within eps of every row, itself included."""
     per_point = _reduce_in_radius(rp, rp.tree.points, "weight", "sum")
-    return attach(rp.tree.rows, per_point, ["pid"], "inner").select("id", F.col("v").alias("n"))
+    return rp.tree.rows.join(per_point, "pid").select("id", F.col("v").alias("n"))
 
 
 def connected_components(edges: DataFrame, vertices: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -424,12 +424,11 @@ def density_clusters(tree: Tree, eps: float, min_samples: int = 7) -> DataFrame:
     per_point = (pts.select("pid", "is_core").join(labelled.select("pid", "first_core"), "pid", "left")
                  .join(border.withColumnRenamed("v", "near_core"), "pid", "left")
                  .select("pid", "is_core", F.coalesce("first_core", "near_core").alias("anchor")))
-    from ..functions.ranking import id_rank
     number = id_rank(first.select("first_core"), "first_core", "cluster").select(
         F.col("first_core").alias("anchor"), (F.col("cluster") - 1).alias("cluster"))
     per_point = per_point.join(number, "anchor", "left").select(
         "pid", "is_core", F.coalesce("cluster", F.lit(-1)).cast("long").alias("cluster"))
-    return attach(tree.rows, per_point, ["pid"], "inner").select("id", "is_core", "cluster")
+    return tree.rows.join(per_point, "pid").select("id", "is_core", "cluster")
 
 
 def single_link_cut(tree: Tree, height: float) -> DataFrame:

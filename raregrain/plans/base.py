@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from ..operators.cleaning import Rules, add_target, clean
 from ..sources import tables as T
 
@@ -29,9 +30,10 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
-def clean_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned, labelled lots."""
-    return add_target(clean(T.raw_lots(spark, sf_dir), T.geo_lookup(spark, sf_dir), RULES), RULES.score_cut)
+def clean_lots(spark: SparkSession, sf_dir: str, coordinates: bool = False) -> DataFrame:
+    """Cleaned, labelled lots; the coordinate lookup joins only where it is asked for."""
+    lookup = materialise(T.geo_lookup(spark, sf_dir)) if coordinates else None
+    return add_target(clean(T.raw_lots(spark, sf_dir), lookup, RULES), RULES.score_cut)
 
 
 def rounded(df: DataFrame, digits: int = 6, **special: int) -> DataFrame:

@@ -5,18 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schema as S
-from ..functions.ranking import attach
 from ..operators import cleaning as C
 from ..operators import lookups as L
 from ..sources import tables as T
 from . import sqltext as Q
-from .base import RULES, clean_lots, query, rounded
+from .base import RULES, clean_lots, query
 
 
 @query("clean_lots", Q.lots() + """SELECT row_id, score, country, subregion, altitude, moisture, c1, c2, variety,
   processing, color, latitude, longitude, label FROM clean""")
 def _(spark, sf):
-    return clean_lots(spark, sf)
+    return clean_lots(spark, sf, coordinates=True)
 
 
 @query("cleaning_audit", Q.lots("""f AS (SELECT score > 0 AS k1, country IS NOT NULL OR subregion IS NOT NULL AS k2,
@@ -114,7 +113,7 @@ def _(spark, sf):
 @query("numeric_block", Q.lots() + """SELECT row_id, moisture, c1, c2, altitude, longitude, abs(latitude) AS latitude_abs
   FROM clean WHERE moisture IS NOT NULL AND altitude IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL""")
 def _(spark, sf):
-    return C.numeric_block(clean_lots(spark, sf))
+    return C.numeric_block(clean_lots(spark, sf, coordinates=True))
 
 
 @query("complete_rows", Q.lots() + """SELECT row_id, moisture, altitude, label FROM clean
@@ -134,7 +133,7 @@ def _(spark, sf):
 # --------------------------------------------------------------------------- joins
 @query("null_safe_lookup", Q.lots() + "SELECT row_id, country, subregion, latitude, longitude FROM clean")
 def _(spark, sf):
-    return clean_lots(spark, sf).select("row_id", "country", "subregion", "latitude", "longitude")
+    return clean_lots(spark, sf, coordinates=True).select("row_id", "country", "subregion", "latitude", "longitude")
 
 
 @query("macro_area_map", Q.lots(Q.AREA) + """SELECT row_id, c.country, coalesce(macro_area, 'Unknown') AS macro_area

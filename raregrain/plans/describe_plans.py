@@ -19,14 +19,14 @@ _COLS = {"altitude": "double", "moisture": "double", "subregion": "string", "var
     f"""SELECT '{c}' AS column_name, '{k}' AS kind, round(avg(({c} IS NULL)::INT) * 100, 1) AS missing_pct,
   count(DISTINCT {c}) AS n_unique FROM clean""" for c, k in _COLS.items()))
 def _(spark, sf):
-    return D.missingness(clean_lots(spark, sf).select(*_COLS))
+    return D.missingness(clean_lots(spark, sf, coordinates=True).select(*_COLS))
 
 
 @query("missing_counts", Q.lots("m AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n_missing FROM clean" for c in _COLS) + ")")
     + "SELECT * FROM m WHERE n_missing > 0")
 def _(spark, sf):
-    return D.missing_counts(clean_lots(spark, sf).select(*_COLS))
+    return D.missing_counts(clean_lots(spark, sf, coordinates=True).select(*_COLS))
 
 
 @query("class_balance", Q.lots() + """SELECT CASE label WHEN 1 THEN 'positive' ELSE 'negative' END AS class,
@@ -178,17 +178,17 @@ def _(spark, sf):
 
 @query("scatter_geography", _scatter("longitude", "latitude"))
 def _(spark, sf):
-    return D.scatter_cells(clean_lots(spark, sf), "longitude", "latitude")
+    return D.scatter_cells(clean_lots(spark, sf, coordinates=True), "longitude", "latitude")
 
 
 @query("average_rank", Q.scored() + """SELECT row_id, rank() OVER (ORDER BY score)
   + (count(*) OVER (PARTITION BY score) - 1) / 2.0::DOUBLE AS avg_rank FROM sc""")
 def _(spark, sf):
-    from ..functions.ranking import attach, running_sums
+    from ..functions.ranking import running_sums
     d = T.scored_events(spark, sf)
     per = running_sums(d.groupBy("score").agg(F.count(F.lit(1)).alias("n")), "score", {"cum": "n"})
     ranks = per.select("score", (F.col("cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
-    return attach(d, ranks, ["score"]).select("row_id", "avg_rank")
+    return d.join(ranks, "score").select("row_id", "avg_rank")
 
 
 @query("tie_broken_rank", Q.scored() + "SELECT row_id, row_number() OVER (ORDER BY score, row_id) AS rn FROM sc")
