@@ -236,7 +236,19 @@ def nearest(tree: Tree, k: int) -> DataFrame:
                     "dist": np.sqrt(np.take_along_axis(full, order, 1)).ravel(),
                     "id": ids[order].ravel(), "xs": list(xs[order].reshape(-1, len(names)))})
     names = list(space.all)
-    cand = _tile_rows(tiles, q, c).mapInPandas(tile_top, "pid long, dist double, id long, xs array<double>")
+    kinds = "pid long, dist double, id long, xs array<double>"
+    # the points of a box already have k neighbours inside it: their distances are a closer bound than the
+    # diagonal, so one block per box first saves most of the others (a hair is added against rounding)
+    boxes = tree.nodes.where(F.col("is_leaf") & (F.col("weight") >= k))
+    own_tiles = boxes.select(F.col("node").alias("q_node"), F.col("node").alias("c_node"))
+    reach = (_tile_rows(own_tiles, q, c).mapInPandas(tile_top, kinds)
+             .join(tree.points.select("pid", F.col("leaf").alias("q_node")), "pid").groupBy("q_node")
+             .agg((F.max(F.col("dist") * F.col("dist")) * F.lit(1 + 1e-9)).alias("reach")))
+    tiles = (tiles.join(reach, "q_node", "left").join(_prefixed(tree.nodes, "q_"), "q_node")
+             .join(_prefixed(tree.nodes, "c_"), "c_node")
+             .where(F.col("reach").isNull() | (space.min_sq("q_", "c_") <= F.col("reach")))
+             .select("q_node", "c_node"))
+    cand = _tile_rows(tiles, q, c).mapInPandas(tile_top, kinds)
     best = Window.partitionBy("pid").orderBy("dist", "id")
     return (cand.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k)
             .groupBy("pid").agg(F.array_sort(F.collect_list(F.struct("dist", "id", "xs"))).alias("neighbours")))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..operators import describe as D
 from ..operators.cleaning import band
 from ..sources import tables as T
