@@ -44,7 +44,7 @@ def class_balance(df: DataFrame, label: str = S.LABEL) -> DataFrame:
     total = F.col("n0") + F.col("n1")
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("class"), F.col(n).alias("n"),
-                 F.round(F.col(n) * F.lit(100.0) / total, 2).alias("percentage"))
+                 F.round(F.try_divide(F.col(n) * F.lit(100.0), total), 2).alias("percentage"))
         for n, name in (("n0", "negative"), ("n1", "positive"))]))).where("n > 0")
 
 
@@ -109,8 +109,9 @@ def rank_test(df: DataFrame, cols: list[str], label: str = S.LABEL) -> DataFrame
         F.sum(n1 * (F.col("cum0") - n0 / 2)).alias("u_positive"),
         F.sum(t * t * t - t).alias("ties"))
     n = F.col("N1") + F.col("N0")
-    sd = F.sqrt(F.col("N1") * F.col("N0") / 12 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (F.abs(F.col("u_positive") - F.col("N1") * F.col("N0") / 2) - 0.5) / sd
+    sd = F.sqrt(F.col("N1") * F.col("N0") / 12 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
+    # a column with one single value has no spread and no evidence
+    z = F.try_divide(F.abs(F.col("u_positive") - F.col("N1") * F.col("N0") / 2) - 0.5, sd)
     return stats.select("feature", "u_positive", F.greatest(z, F.lit(0.0)).alias("z"))
 
 
@@ -143,14 +144,14 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Zero-count bins are absent."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()
-    width = (hi - lo) / bins
+    width = (hi - lo) / bins or 1.0
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
     return df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def share_above(df: DataFrame, col: str, cut: float) -> DataFrame:
     return df.agg(F.count_if(F.col(col) >= cut).alias("n_above"),
-                  (F.count_if(F.col(col) >= cut) * F.lit(100.0) / F.count(col)).alias("share_pct"))
+                  F.try_divide(F.count_if(F.col(col) >= cut) * F.lit(100.0), F.count(col)).alias("share_pct"))
 
 
 def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
@@ -188,6 +189,6 @@ def scatter_cells(df: DataFrame, x: str, y: str, label: str = S.LABEL, bins: int
     x0, x1, y0, y1 = d.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
 
     def cell(c, lo, hi):
-        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit((hi - lo) / bins)), F.lit(bins - 1))
+        return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit((hi - lo) / bins or 1.0)), F.lit(bins - 1))
     return d.groupBy(cell(x, x0, x1).alias("cell_x"), cell(y, y0, y1).alias("cell_y"), label).agg(
         F.count(F.lit(1)).alias("n"))

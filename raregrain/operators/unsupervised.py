@@ -81,7 +81,7 @@ def silhouette_rows(df: DataFrame, cols: list[str], cluster: str = "cluster") ->
     others = [F.when(F.col(cluster) != r[cluster], mean_sq(r)) for r in stats]
     other = F.least(*others) if len(others) > 1 else nothing
     d = df.withColumns({"__a": own, "__b": other})
-    s = (F.col("__b") - F.col("__a")) / F.greatest("__a", "__b")
+    s = F.try_divide(F.col("__b") - F.col("__a"), F.greatest("__a", "__b"))
     return d.withColumn("silhouette", F.coalesce(s, F.lit(0.0))).drop("__a", "__b")
 
 
