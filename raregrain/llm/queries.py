@@ -1,4 +1,4 @@
 """All queries of the subpackage: importing the operators registers them."""
 
-from . import chat, exact  # noqa: F401
+from . import chat, exact, substrings  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
