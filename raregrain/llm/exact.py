@@ -142,9 +142,10 @@ def exact_duplicates(rows: DataFrame, key: str, id_col: str = "doc_id", bits_per
               .withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}))
     meet = materialise(flagged.where(F.col(flag)).withColumn(rid, F.monotonically_increasing_id()))
     top, same = fresh(rows, "top"), fresh(rows, "key")
-    groups = (meet.groupBy(F.col(key).alias(same))
-              .agg(F.max(F.struct(F.col(id_col).alias("id"), F.col(rid).alias("row"))).alias(top),
-                   F.count(F.lit(1)).alias("group_size")))
+    # Stored, so that the join deals out both sides itself and can split the rows of a hot group over tasks.
+    groups = materialise(meet.groupBy(F.col(key).alias(same))
+                         .agg(F.max(F.struct(F.col(id_col).alias("id"), F.col(rid).alias("row"))).alias(top),
+                              F.count(F.lit(1)).alias("group_size")))
     several = (meet.join(groups, F.col(key) == F.col(same))
                .withColumns({"keep_id": F.col(top)["id"], "kept": F.col(top)["row"] == F.col(rid)}))
     columns = [*[F.col(f"`{c}`") for c in rows.columns], "keep_id", "group_size", "kept"]
