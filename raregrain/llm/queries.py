@@ -1,4 +1,4 @@
 """All queries of the subpackage: importing the operators registers them."""
 
-from . import chat, dartminhash, exact, langid, substrings  # noqa: F401
+from . import chat, dartminhash, exact, langid, packing, substrings  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
