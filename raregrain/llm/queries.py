@@ -1,4 +1,4 @@
 """All queries of the subpackage: importing the operators registers them."""
 
-from . import bpe, chat, dartminhash, exact, langid, packing, substrings, tokenfiles  # noqa: F401
+from . import bpe, chat, dartminhash, exact, langid, packing, simhash, substrings, tokenfiles  # noqa: F401
 from .common import ORACLES, QUERIES  # noqa: F401
