@@ -1,4 +1,10 @@
 """All queries of the subpackage: importing the operators registers them."""
 
-from . import bpe, chat, dartminhash, exact, langid, packing, simhash, substrings, tokenfiles  # noqa: F401
-from .common import ORACLES, QUERIES  # noqa: F401
+import corpus_pipeline
+
+from . import bpe, chat, dartminhash, exact, langid, licenses, packing, simhash, substrings, tokenfiles  # noqa: F401
+from .common import ORACLES, QUERIES
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
