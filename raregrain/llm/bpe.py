@@ -24,20 +24,20 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 from .common import query, table
 from .tokenfiles import word_path
 from .tokens import WHITE, ChunkMemory, white_chunks
 
 SHORT = 64  # chunks up to this length are remembered
-_NOT_SPACE = f"[^{WHITE}\\p{{L}}\\p{{N}}]"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the split of the tokenizer file
 
 
@@ -48,6 +48,42 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in set(kept) else chr(next(spare)) for b in range(256)]
 
 
+def char_classes(splitter) -> tuple[str, str, str]:
+    """Bodies of three character classes: letters, numbers, and what Python's character tables do not know.
+
+    The library's Unicode tables may be newer than Python's, so it is asked about the
+    unassigned code points itself: ranges that hold neither letter nor number are not halved.
+    """
+    kinds: dict[str, list[list[int]]] = {"L": [], "N": [], "Cn": []}
+
+    def add(kind: str, a: int, b: int) -> None:
+        if kinds[kind] and kinds[kind][-1][1] == a - 1:
+            kinds[kind][-1][1] = b
+        else:
+            kinds[kind].append([a, b])
+
+    def ask(a: int, b: int) -> None:
+        if len(splitter.pre_tokenize_str("!" + "".join(map(chr, range(a, b + 1))))) == 1:
+            return  # neither letters nor numbers
+        if a < b:
+            ask(a, (a + b) // 2)
+            ask((a + b) // 2 + 1, b)
+        else:
+            add("L" if len(splitter.pre_tokenize_str("a" + chr(a))) == 1 else "N", a, a)
+    start = None
+    for c in range(0x110001):
+        kind = unicodedata.category(chr(c)) if c < 0x110000 else "end"
+        if kind == "Cn" and start is None:
+            start = c
+        elif kind != "Cn" and start is not None:
+            add("Cn", start, c - 1)
+            ask(start, c - 1)
+            start = None
+        if kind[0] in "LN":
+            add(kind[0], c, c)
+    return tuple("".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in kinds[k]) for k in ("L", "N", "Cn"))
+
+
 def sufficient_lookahead(merges: list[tuple[str, str]], length) -> int:
     """Symbols behind a token that can decide whether it stays as it is.
 
@@ -95,6 +131,19 @@ class Rules:
         self.token = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
         self.bytes_mode = (spec["decoder"] or {}).get("type") == "ByteLevel"
         self.byte_of = {s: b for b, s in enumerate(symbols)}
+        tool = Tokenizer.from_file(path)
+        letter, number, new = char_classes(tool.pre_tokenizer)
+        other = f"[^{WHITE}{letter}{number}]"
+        self.normaliser, self.new = tool.normalizer, re.compile(f"[{new}]")
+        self.split = re.compile(rf"(?P<short>'s|'t|'re|'ve|'m|'ll|'d)|(?P<letters>[{letter}])|(?P<number>[{number}])"
+                                rf"|(?P<other>{other})")
+        self.runs = {"letters": re.compile(f"[{letter}]*"), "other": re.compile(f"{other}*")}
+
+    def normalised(self, text: str) -> str:
+        """NFC in lower case; white space may stay as it is, for the split drops it."""
+        if self.new.search(text):
+            return self.normaliser.normalize_str(text)
+        return lowered(unicodedata.normalize("NFC", text))
 
     def symbols_of(self, token: str) -> int:
         return len(token) - len(self.suffix) if self.suffix and token.endswith(self.suffix) else len(token)
@@ -160,7 +209,7 @@ class StreamEncoder:
         self.text = ""  # normalised, not yet split into words
         self.word: WordTransducer | None = None
         self.run = None  # pattern of the run of characters that the open word goes on with
-        self.special = regex.compile("|".join(map(regex.escape, rules.special)) or r"(?!)")
+        self.special = re.compile("|".join(map(re.escape, rules.special)) or r"(?!)")
         self.margin = max(map(len, rules.special), default=1) - 1
 
     def feed(self, piece: str) -> Iterator[int]:
@@ -192,7 +241,7 @@ class StreamEncoder:
             while cut and joins(self.held[cut]):
                 cut -= 1
         done, self.held = self.held[:cut], self.held[cut:]
-        self.text += lowered(unicodedata.normalize("NFC", done))
+        self.text += self.rules.normalised(done)
         yield from self._split(last)
 
     def _split(self, last: bool) -> Iterator[int]:
@@ -208,14 +257,14 @@ class StreamEncoder:
                 self.word = None
             if at == len(text) or (len(text) - at < 3 and not last):
                 break  # a contraction is at most three characters
-            found = _SPLIT.match(text, at)
+            found = self.rules.split.match(text, at)
             if not found:
                 at += 1  # white space
                 continue
             kind = found.lastgroup
             self.word = WordTransducer(self.rules)
-            if kind in _RUNS:
-                self.run = _RUNS[kind]
+            if kind in self.rules.runs:
+                self.run = self.rules.runs[kind]
             else:  # complete as it stands
                 yield from self.word.feed(found.group().encode())
                 yield from self.word.finish()
@@ -223,14 +272,9 @@ class StreamEncoder:
         self.text = text[at:]
 
 
-_SPLIT = regex.compile(rf"(?P<short>'s|'t|'re|'ve|'m|'ll|'d)|(?P<letters>\p{{L}})|(?P<number>\p{{N}})"
-                       rf"|(?P<other>{_NOT_SPACE})")
-_RUNS = {"letters": regex.compile(r"\p{L}*"), "other": regex.compile(f"{_NOT_SPACE}*")}
-
-
 def joins(c: str) -> bool:
     """Whether a character may combine with the one before it in NFC."""
-    return unicodedata.category(c)[0] == "M" or "ᅠ" <= c <= "ᇿ"
+    return unicodedata.category(c) in ("Mn", "Mc", "Me", "Cn") or "\u1160" <= c <= "\u11ff"
 
 
 def lowered(text: str) -> str:
