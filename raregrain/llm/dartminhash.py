@@ -11,9 +11,11 @@ similarity.
 
 Bands of the signature propose pairs, which are checked against the
 exact similarity of the shingles. Texts with the same words are one class and
-compared once. In a bucket every member meets the smallest one first; only
-members of buckets that are then still in several components meet each other, ranked
-in waves, so a bucket of thousands of near copies costs one pair a member.
+compared once. In a bucket every member meets two of them, the smallest and one drawn by a hash
+of member and band, so it meets another one in every band. Only where a bucket is then still in
+several components do the members outside the largest one meet more, at last
+all members of other components, in waves. A bucket of thousands of near copies so costs a few
+pairs a member, and no link that joins two components is lost.
 
 Defined cases: words are runs of bytes other than space and 0x09-0x0D, A-Z folded; a text
 with 1 to 4 words is one shingle; a null or empty text and a null id
@@ -40,7 +42,8 @@ from .words import mix, shingles, small_batches, word_hashes
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band with a chance of 5e-5
-WAVE = 256  # members of a bucket that meet all others at once
+DRAWN = 4  # members of a bucket's largest component that each other member meets
+WAVE = 32  # members of a bucket that meet all others at once
 SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -208,6 +211,21 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
+    return df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+
+
+def _opened(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of the buckets that lie in several components, with their own and the bucket's largest component."""
+    known = (members.join(comp, F.col("rep") == F.col("id"), "left")
+             .select("band", "h", "rep", F.coalesce("component", "rep").alias("component")))
+    parted = known.groupBy("band", "h", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = materialise(parted.groupBy("band", "h").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1").select("band", "h", "main"))
+    return known.join(main, ["band", "h"])
+
+
 def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
                            similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id_col, class_id, rep_id): class_id is the smallest id of the connected near copies.
@@ -223,38 +241,45 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
         .select("same", F.col("r.id").alias("rep"), F.col("r.split").alias("split"), "bands"))
 
     places = reps.select("rep", "split", F.posexplode("bands").alias("band", "h"))
-    first = places.groupBy("band", "h").agg(F.min("rep").alias("lead"), F.count(F.lit(1)).alias("size"))
-    shared = materialise(places.join(first.where("size > 1"), ["band", "h"])
-                         .select("band", "h", "rep", "split", "lead", "size"))
+    # Stored, so that joins with the rows of a bucket can split a hot one over tasks.
+    first = materialise(places.groupBy("band", "h").agg(
+        F.min("rep").alias("least"), F.min_by("rep", F.xxhash64("rep", "band")).alias("drawn"),
+        F.count(F.lit(1)).alias("size")).where("size > 1"))
+    shared = materialise(places.join(first, ["band", "h"]).select("band", "h", "rep", "split", "least", "drawn", "size"))
     sets = materialise(_shingle_sets(tagged, shared.select("split", F.col("rep").alias("id")).distinct()))
-    pairs = shared.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialise(_verified(pairs, sets, similarity))
-
-    # Buckets that are still in several components: who is outside the largest one meets everybody else.
+    met = _pairs(shared, "rep", "least").union(_pairs(shared, "rep", "drawn")).distinct()
+    links = materialise(_verified(met, sets, similarity))
     comp = components(links)
-    members = (shared.where("size > 2").select("band", "h", "rep").join(comp, F.col("rep") == F.col("id"), "left")
-               .select("band", "h", "rep", F.coalesce("component", "rep").alias("component")))
-    parted = members.groupBy("band", "h", "component").agg(F.count(F.lit(1)).alias("n"))
-    main = (parted.groupBy("band", "h").agg(F.max(F.struct("n", "component"))["component"].alias("main"),
-                                            F.count(F.lit(1)).alias("parts"), F.sum("n").alias("size"))
-            .where("parts > 1"))
-    opened = materialise(members.join(main, ["band", "h"]))
+
+    # Buckets that are still in several components: who is outside the largest one meets more of its members, ...
+    members = shared.where("size > 2").select("band", "h", "rep")
+    opened = materialise(_opened(members, comp))
+    drawn = materialise(opened.where("component = main").groupBy("band", "h").agg(F.array_distinct(F.array(
+        *[F.min_by("rep", F.xxhash64("rep", "band", F.lit(k))) for k in range(DRAWN)])).alias("drawn")))
+    again = (opened.where("component <> main").join(drawn, ["band", "h"])
+             .select("rep", F.explode("drawn").alias("drawn")))
+    again = _pairs(again, "rep", "drawn").distinct().join(met, ["a", "b"], "left_anti")
+    found = materialise(_verified(again, sets, similarity))
+    if found.limit(1).count():
+        links = materialise(links.union(found))
+        comp = components(links)
+
+    # ... and who is then still outside meets everybody of another component, some at a time.
+    opened = materialise(_opened(members, comp))
     rest = opened.where("component <> main").select("band", "h", F.col("rep").alias("x"))
-    counts = rest.groupBy("band", "h").agg(F.ceil(F.count(F.lit(1)) / F.lit(WAVE)).alias("waves"))
-    rest = materialise(rest.join(counts, ["band", "h"])
-                       .select("band", "h", "x", F.pmod(F.xxhash64("x"), "waves").alias("wave")))
-    tried = pairs
-    for wave in range((rest.agg(F.max("wave")).first()[0] or 0) + 1 if rest.limit(1).count() else 0):
-        label = comp.select(F.col("id"), "component")
-        met = (rest.where(F.col("wave") == wave).join(opened.select("band", "h", F.col("rep").alias("y")),
-                                                      ["band", "h"]).where("x <> y")
-               .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        apart = (met.join(label.withColumnsRenamed({"id": "a", "component": "ca"}), "a", "left")
+    most = rest.groupBy("band", "h").count().agg(F.max("count")).first()[0] or 0
+    waves = -(-most // WAVE)
+    for wave in range(waves):
+        label = comp.select("id", "component")
+        near = (rest.where(F.pmod(F.xxhash64("x"), F.lit(waves)) == wave)
+                .join(opened.select("band", "h", F.col("rep").alias("y")), ["band", "h"]))
+        apart = (_pairs(near, "x", "y").distinct()
+                 .join(label.withColumnsRenamed({"id": "a", "component": "ca"}), "a", "left")
                  .join(label.withColumnsRenamed({"id": "b", "component": "cb"}), "b", "left")
                  .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
-        found = materialise(_verified(apart.join(tried, ["a", "b"], "left_anti"), sets, similarity))
+        found = materialise(_verified(apart, sets, similarity))
         if found.limit(1).count():
-            links = materialise(links.union(found).distinct())
+            links = materialise(links.union(found))
             comp = components(links)
 
     labelled = (reps.select("same", F.col("rep").alias("rep_id"))
