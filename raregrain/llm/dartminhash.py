@@ -12,10 +12,10 @@ similarity.
 Bands of the signature propose pairs, which are checked against the
 exact similarity of the shingles. Texts with the same words are one class and
 compared once. In a bucket every member meets two of them, the smallest and one drawn by a hash
-of member and band, so it meets another one in every band. Only where a bucket is then still in
-several components do the members outside the largest one meet more, at last
-all members of other components, in waves. A bucket of thousands of near copies so costs a few
-pairs a member, and no link that joins two components is lost.
+of member and band, so it meets another one in every band. Where a bucket is then still in
+several components, the members outside its largest one meet all others as blocks of matrices inside
+tasks: only links that join components become rows. A bucket of thousands of near copies so costs two
+rows a member, and no link that joins two components is lost.
 
 Defined cases: words are runs of bytes other than space and 0x09-0x0D, A-Z folded; a text
 with 1 to 4 words is one shingle; a null or empty text and a null id
@@ -36,14 +36,14 @@ from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
 from .common import from_files, partitions, query, split_key, table
-from .splits import MESSAGE, by_split, exchange, load, message, pack, unpack
+from .splits import MESSAGE, by_split, exchange, load, message, pack, runs, unpack
 from .words import mix, shingles, small_batches, word_hashes
 
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 25, 5  # a pair at 0.8 shares no band with a chance of 5e-5
-DRAWN = 4  # members of a bucket's largest component that each other member meets
-WAVE = 32  # members of a bucket that meet all others at once
+BLOCK = 256  # members of a family that meet at once
+COLUMNS = 1 << 13  # units of weight compared at once
 SEED = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -215,15 +215,92 @@ def _pairs(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.where(F.col(x) != F.col(y)).select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
 
 
-def _opened(members: DataFrame, comp: DataFrame) -> DataFrame:
-    """Members of the buckets that lie in several components, with their own and the bucket's largest component."""
-    known = (members.join(comp, F.col("rep") == F.col("id"), "left")
-             .select("band", "h", "rep", F.coalesce("component", "rep").alias("component")))
+def _units(body: bytes) -> np.ndarray:
+    """A weighted set as one distinct hash for each unit of weight."""
+    values, counts = np.frombuffer(body, np.uint64).reshape(2, -1)
+    counts = counts.astype(np.int64)
+    nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    return mix(np.repeat(values, counts) + nth.astype(np.uint64) * SEED)
+
+
+def _common(xs: list[np.ndarray], ys: list[np.ndarray]) -> np.ndarray:
+    """(xs, ys) sizes of the intersections, by matrix products over some thousand units at a time."""
+    units = np.intersect1d(np.concatenate(xs), np.concatenate(ys))
+    out = np.zeros((len(xs), len(ys)), np.float64)
+    for at in range(0, len(units), COLUMNS):
+        part = units[at:at + COLUMNS]
+
+        def rows(sets: list[np.ndarray]) -> np.ndarray:
+            m = np.zeros((len(sets), len(part)), np.float32)
+            for i, s in enumerate(sets):
+                spot = np.minimum(np.searchsorted(part, s), len(part) - 1)
+                m[i, spot[part[spot] == s]] = 1.0
+            return m
+        out += rows(xs) @ rows(ys).T
+    return out
+
+
+def joining_links(xs: list[tuple], ys: list[tuple], similarity: float) -> list[tuple[int, int]]:
+    """Similar pairs of (id, component, body) that join components: as many as the components need, no more."""
+    a, b = [_units(r[2]) for r in xs], [_units(r[2]) for r in ys]
+    both = _common(a, b)
+    total = np.array([len(u) for u in a])[:, None] + np.array([len(u) for u in b])[None, :] - both
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while root.setdefault(c, c) != c:
+            root[c] = c = root[root[c]]
+        return c
+    out = []
+    for i, j in np.argwhere(both >= similarity * np.maximum(total, 1)).tolist():
+        p, q = find(xs[i][1]), find(ys[j][1])
+        if p != q:
+            root[max(p, q)] = min(p, q)
+            out.append((min(xs[i][0], ys[j][0]), max(xs[i][0], ys[j][0])))
+    return out
+
+
+def _open_links(shared: DataFrame, comp: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between components that meet in a bucket, found without a row for each pair.
+
+    Buckets that share members form a family; its members outside the largest component of some bucket
+    meet all its members, block by block, as matrices inside a task.
+    """
+    spark = shared.sparkSession
+    known = (shared.where("size > 2").select("band", "h", "rep", "least")
+             .join(comp, F.col("rep") == F.col("id"), "left")
+             .select("band", "h", "rep", "least", F.coalesce("component", "rep").alias("component")))
     parted = known.groupBy("band", "h", "component").agg(F.count(F.lit(1)).alias("n"))
     main = materialise(parted.groupBy("band", "h").agg(
         F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1").select("band", "h", "main"))
-    return known.join(main, ["band", "h"])
+    opened = materialise(known.join(main, ["band", "h"]))
+    family = components(_pairs(opened, "rep", "least")).withColumnsRenamed({"id": "rep", "component": "family"})
+    members = materialise(opened.groupBy("rep").agg(
+        F.any_value("component").alias("component"), F.bool_or(F.col("component") != F.col("main")).alias("outside"))
+        .join(family, "rep"))
+    wide = materialise(members.groupBy("family").agg(
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks")))
+    placed = materialise(members.join(wide, "family")
+                         .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+                         .join(sets.withColumnRenamed("id", "rep"), "rep"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = placed.where("outside").select("family", F.col("block").alias("bx"), every.alias("by"),
+                                          F.lit(0).alias("side"), "rep", "component", "body")
+    right = placed.select("family", every.alias("bx"), F.col("block").alias("by"), F.lit(1).alias("side"),
+                          "rep", "component", "body")
+    kind = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in runs(batches, 0):
+            xs, ys = [r[2:] for r in rows if r[1] == 0], [r[2:] for r in rows if r[1] == 1]
+            found = joining_links(xs, ys, similarity) if xs and ys else []
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=kind.names)
+    key = F.struct("family", "bx", "by")
+    return (left.union(right).repartition(partitions(spark), "family", "bx", "by")
+            .sortWithinPartitions("family", "bx", "by", "side")
+            .select(F.to_json(key).alias("key"), "side", "rep", "component", "body").mapInArrow(meet, kind))
 
 
 def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
@@ -251,36 +328,9 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
     links = materialise(_verified(met, sets, similarity))
     comp = components(links)
 
-    # Buckets that are still in several components: who is outside the largest one meets more of its members, ...
-    members = shared.where("size > 2").select("band", "h", "rep")
-    opened = materialise(_opened(members, comp))
-    drawn = materialise(opened.where("component = main").groupBy("band", "h").agg(F.array_distinct(F.array(
-        *[F.min_by("rep", F.xxhash64("rep", "band", F.lit(k))) for k in range(DRAWN)])).alias("drawn")))
-    again = (opened.where("component <> main").join(drawn, ["band", "h"])
-             .select("rep", F.explode("drawn").alias("drawn")))
-    again = _pairs(again, "rep", "drawn").distinct().join(met, ["a", "b"], "left_anti")
-    found = materialise(_verified(again, sets, similarity))
+    found = materialise(_open_links(shared, comp, sets, similarity))
     if found.limit(1).count():
-        links = materialise(links.union(found))
-        comp = components(links)
-
-    # ... and who is then still outside meets everybody of another component, some at a time.
-    opened = materialise(_opened(members, comp))
-    rest = opened.where("component <> main").select("band", "h", F.col("rep").alias("x"))
-    most = rest.groupBy("band", "h").count().agg(F.max("count")).first()[0] or 0
-    waves = -(-most // WAVE)
-    for wave in range(waves):
-        label = comp.select("id", "component")
-        near = (rest.where(F.pmod(F.xxhash64("x"), F.lit(waves)) == wave)
-                .join(opened.select("band", "h", F.col("rep").alias("y")), ["band", "h"]))
-        apart = (_pairs(near, "x", "y").distinct()
-                 .join(label.withColumnsRenamed({"id": "a", "component": "ca"}), "a", "left")
-                 .join(label.withColumnsRenamed({"id": "b", "component": "cb"}), "b", "left")
-                 .where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b"))
-        found = materialise(_verified(apart, sets, similarity))
-        if found.limit(1).count():
-            links = materialise(links.union(found))
-            comp = components(links)
+        comp = components(links.union(found))
 
     labelled = (reps.select("same", F.col("rep").alias("rep_id"))
                 .join(comp.select(F.col("id").alias("rep_id"), "component"), "rep_id", "left")
