@@ -66,7 +66,7 @@ def test_equals_brute_force(spark):
 
 
 def test_chain_whose_ends_differ_is_one_class(spark, monkeypatch):
-    monkeypatch.setattr(dm, "WAVE", 2)
+    monkeypatch.setattr(dm, "BLOCK", 3)
     rng = random.Random(2)
     chain = [prose(rng, 300)]
     for _ in range(14):
@@ -89,6 +89,27 @@ def test_empty_table(spark):
     assert dm.near_duplicate_classes(documents(spark, [])).count() == 0
 
 
+def test_joining_links_join_what_similar_pairs_join(monkeypatch):
+    monkeypatch.setattr(dm, "COLUMNS", 50)
+    rng = random.Random(6)
+    base = prose(rng, 120)
+    texts = [edited(rng, base, rng.randrange(6)) for _ in range(40)] + [prose(rng, 30) + " a b c d e f" * 4]
+    bodies = []
+    for t in texts:
+        values, counts = np.unique(shingles(*word_hashes(pa.array([t]), fold=True), dm.WIDTH)[0], return_counts=True)
+        bodies.append(np.stack([values, counts.astype(np.uint64)]).tobytes())
+    rows = [(i, i, b) for i, b in enumerate(bodies)]
+    found = dm.joining_links(rows, rows, dm.SIMILARITY)
+    label = {i: i for i in range(len(texts))}
+    for a, b in found:
+        assert similarity(bag(texts[a]), bag(texts[b])) >= dm.SIMILARITY
+        old, new = label[b], label[a]
+        label = {k: new if v == old else v for k, v in label.items()}
+    want = brute(list(enumerate(texts)))
+    assert {frozenset(k for k in label if label[k] == v) for v in label.values()} == {
+        frozenset(k for k in want if want[k] == v) for v in want.values()}
+
+
 def test_signatures_estimate_the_weighted_similarity():
     rng = random.Random(7)
     a = prose(rng, 300, 10**6)
