@@ -1,8 +1,9 @@
 """Deterministic hash used by every split, shuffle and resample.
 
-The hash is plain BIGINT arithmetic, so any SQL engine reproduces it.  For a
-fixed seed it is one-to-one on ids below the modulus; larger ids wrap around
-and callers break the rare ties by the id itself.
+The first 60 bits of the MD5 digest of "key:seed". Any SQL engine has MD5, so
+oracle texts can repeat it; key and seed both enter the digest, so two seeds
+give unrelated orders and draws, and indexes up to 2**60 can be reached. Keys are any BIGINT; the few
+equal hashes (about n**2 / 2**61 pairs) are ordered by the id itself by every caller.
 """
 
 from __future__ import annotations
@@ -10,11 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MODULUS = 2147483647  # 2**31 - 1, prime; 5 does not divide MODULUS - 1
-
-
-def _mod(c: Column) -> Column:
-    return F.pmod(c, F.lit(MODULUS).cast("long"))
+MODULUS = 1 << 60
+_UNIT = 1 << 52  # uniform numbers have 52 bits, so they are exact and below 1
 
 
 def _as_col(v) -> Column:
@@ -26,24 +24,19 @@ def _as_col(v) -> Column:
 
 
 def portable_hash(key, seed=42) -> Column:
-    """x**5 mod p of an affine map of the key; integer in [0, p)."""
-    x = _mod(_mod(_as_col(key)) * F.lit(48271).cast("long")
-             + _as_col(seed) * F.lit(69621).cast("long") + F.lit(12345).cast("long"))
-    x2 = _mod(x * x)
-    return _mod(_mod(x2 * x2) * x)
+    """Integer in [0, 2**60); null for a null key."""
+    text = F.concat(_as_col(key).cast("string"), F.lit(":"), _as_col(seed).cast("string"))
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def portable_uniform(key, seed=42) -> Column:
-    return portable_hash(key, seed) / F.lit(float(MODULUS))
+    return F.shiftright(portable_hash(key, seed), 8) / F.lit(float(_UNIT))
 
 
 def hash_sql(key: str, seed="42") -> str:
     """The same hash as a SQL expression (used by the oracle texts)."""
-    p = MODULUS
-    x = f"((((CAST({key} AS BIGINT) % {p}) * 48271) + CAST({seed} AS BIGINT) * 69621 + 12345) % {p})"
-    x2 = f"(({x} * {x}) % {p})"
-    return f"(((({x2} * {x2}) % {p}) * {x}) % {p})"
+    return f"CAST('0x' || substr(md5(CAST({key} AS BIGINT) || ':' || CAST({seed} AS BIGINT)), 1, 15) AS BIGINT)"
 
 
 def uniform_sql(key: str, seed="42") -> str:
-    return f"({hash_sql(key, seed)} / {float(MODULUS)})"
+    return f"(({hash_sql(key, seed)} >> 8) / {float(_UNIT)}::DOUBLE)"

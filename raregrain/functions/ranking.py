@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import MODULUS
+from .scratch import stored
 
 BUCKET = "__bucket"
 
@@ -71,6 +72,7 @@ def running_sums(df: DataFrame, value: str, sums: dict[str, str], by: tuple | li
     likewise adds the sum over the whole group, from the same bucket totals.
     """
     by, totals = list(by), totals or {}
+    df = stored(df)  # read three times: for the cuts, the bucket totals and the rows
     d = with_buckets(df, value, cut_points(df, value, buckets))
     per = d.groupBy(*by, BUCKET).agg(*[F.sum(c).alias(f"__t_{c}") for c in dict.fromkeys(
         [*sums.values(), *totals.values()])])

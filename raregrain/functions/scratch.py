@@ -39,3 +39,11 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     path = scratch_path(df.sparkSession)
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` itself if it only reads files, else a stored copy: for frames that a plan uses more than once."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.children().size() == 1 and plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return df if plan.nodeName() == "LogicalRelation" else materialise(df)

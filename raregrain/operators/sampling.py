@@ -66,23 +66,23 @@ def stratified_holdout(df: DataFrame, test_size: float = S.TEST_SIZE, seed: int
                        label: str = S.LABEL, id_col: str = S.ROW_ID, out: str = "is_test") -> DataFrame:
     """Flag ceil(test_size * n) rows of every class as test."""
     cuts = _rank_cuts(df, label, id_col, seed, [test_size])
-    h, i = portable_hash(id_col, seed), F.col(id_col).cast("long")
+    h, i = F.col("__h"), F.col(id_col).cast("long")
     flag = F.lit(False)
     for y, (cut,) in cuts.items():
         flag = flag | ((F.col(label) == y) & _within(cut, h, i))
-    return df.withColumn(out, flag)
+    return df.withColumn("__h", portable_hash(id_col, seed)).withColumn(out, flag).drop("__h")
 
 
 def stratified_folds(df: DataFrame, k: int = S.N_FOLDS, seed: int = S.SEED, label: str = S.LABEL,
                      id_col: str = S.ROW_ID, out: str = "fold") -> DataFrame:
     """Fold of rank r (1-based, hash order, within class) = (r-1)*k div n_class."""
     cuts = _rank_cuts(df, label, id_col, seed, [f / k for f in range(1, k)])
-    h, i = portable_hash(id_col, seed), F.col(id_col).cast("long")
+    h, i = F.col("__h"), F.col(id_col).cast("long")
     fold = F.lit(0)
     for y, cs in cuts.items():
         for cut in cs:
             fold = fold + ((F.col(label) == y) & ~_within(cut, h, i)).cast("int")
-    return df.withColumn(out, fold)
+    return df.withColumn("__h", portable_hash(id_col, seed)).withColumn(out, fold).drop("__h")
 
 
 def early_stopping_split(df: DataFrame, held_out_fold: int, test_size: float = 0.2,

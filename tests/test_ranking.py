@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from raregrain.functions import ranking as R
-from raregrain.functions.hashing import MODULUS, portable_hash
+from raregrain.functions.hashing import MODULUS, portable_hash, portable_uniform
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +65,27 @@ def test_hash_is_one_to_one(spark):
     assert spark.range(1, 2).select(portable_hash(F.lit(10 ** 17), 3)).first()[0] >= 0
 
 
+def test_hash_of_large_ids_and_seeds(spark):
+    ids = spark.range(0, 3000).select((F.col("id") * (2 ** 31 - 1) + 2 ** 33).alias("id"))
+    both = ids.select(portable_hash("id", 1).alias("a"), portable_hash("id", 2).alias("b"))
+    assert both.select("a").distinct().count() == 3000  # ids that differ by 2**31 - 1 do not share a hash
+    assert both.join(both.select(F.col("b").alias("a2")), F.col("a") == F.col("a2")).isEmpty()
+    assert abs(both.stat.corr("a", "b")) < 0.06  # seeds do not shift the order
+    n = 2 ** 33
+    draws = spark.range(4000).select((portable_hash("id", 5) % n).alias("i"))
+    assert draws.where(F.col("i") > 2 ** 31).count() > 2800  # indexes above 2**31 are drawn
+    u = spark.range(4000).select(portable_uniform("id").alias("u")).agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0 <= u[0] and u[1] < 1 and abs(u[2] - 0.5) < 0.03
+
+
+def test_resamples_share_no_draws(spark):
+    from raregrain.operators.sampling import bootstrap_counts, poisson_counts
+    df = spark.range(500).select(F.col("id").alias("row_id"))
+    for draw in (bootstrap_counts, poisson_counts):
+        counts = draw(df, 8).toPandas().pivot_table(index="row_id", columns="boot", values="times").fillna(0)
+        assert np.abs(np.corrcoef(counts.T) - np.eye(8)).max() < 0.25
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-50, 50)), min_size=1, max_size=40))
 def test_median_of_any_list(spark, xs):
