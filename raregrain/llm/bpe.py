@@ -37,6 +37,7 @@ from .common import query, table
 from .tokenfiles import word_path
 from .tokens import WHITE, ChunkMemory, white_chunks
 
+_IDS = 1 << 24  # more than any vocabulary has
 SHORT = 64  # chunks up to this length are remembered
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the split of the tokenizer file
 
@@ -120,7 +121,9 @@ class Rules:
         self.suffix = model["end_of_word_suffix"] or ""
         self.vocab: dict[str, int] = dict(model["vocab"])
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.merges = {(self.vocab[a], self.vocab[b]): (i, self.vocab[a + b]) for i, (a, b) in enumerate(pairs)}
+        # rank and merged id of a pair as one number, so that the least number is the least rank
+        self.ranked = {(self.vocab[a], self.vocab[b]): i * _IDS + self.vocab[a + b] for i, (a, b) in enumerate(pairs)}
+        self.none = len(pairs) * _IDS
         self.lookahead = sufficient_lookahead(pairs, self.symbols_of)
         self.longest = max(map(self.symbols_of, self.vocab))
         symbols = byte_symbols()
@@ -150,23 +153,30 @@ class Rules:
 
     def merged(self, ids: list[int]) -> list[int]:
         """All merges of a run of symbols, the lowest rank first, left to right."""
-        merges = self.merges
-        while len(ids) > 1:
-            best = min((merges.get(p, (1 << 60, 0))[0], p) for p in zip(ids, ids[1:]))
-            if best[0] == 1 << 60:
+        get, none = self.ranked.get, self.none
+        ranks = [get(p, none) for p in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            (a, b), new = best[1], merges[best[1]][1]
-            out, i, n = [], 0, len(ids)
-            while i < n:
-                if i + 1 < n and ids[i] == a and ids[i + 1] == b:
-                    out.append(new)
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            at, new = ranks.index(best), best % _IDS
+            while at >= 0:
+                ids[at:at + 2] = [new]
+                del ranks[at]
+                if at:
+                    ranks[at - 1] = get((ids[at - 1], new), none)
+                if at < len(ranks):
+                    ranks[at] = get((new, ids[at + 1]), none)
+                at = next((i for i in range(at, len(ranks)) if ranks[i] == best), -1) if best in ranks else -1
         return ids
 
+    def word(self, raw: bytes) -> list[int]:
+        """What the transducer gives for a word that its buffer holds whole."""
+        inner = self.inner
+        ids = [inner[b] for b in raw]
+        ids[-1] = self.final[raw[-1]]
+        return self.merged(ids)
+
 
 class WordTransducer:
     """Symbols of one word in, final token ids out."""
@@ -287,6 +297,23 @@ def encode(rules: Rules, text: str) -> list[int]:
     return [*stream.feed(text), *stream.finish()]
 
 
+def encode_chunk(rules: Rules, chunk: str) -> list[int]:
+    """``encode`` of a chunk without white space that every buffer of the stream holds whole."""
+    if len(chunk) > SHORT or any(s in chunk for s in rules.special):
+        return encode(rules, chunk)
+    text, out, at = chunk.lower() if chunk.isascii() else rules.normalised(chunk), [], 0
+    while at < len(text):
+        found = rules.split.match(text, at)
+        if not found:
+            at += 1
+            continue
+        run = rules.runs.get(found.lastgroup)
+        end = run.match(text, at).end() if run else found.end()
+        out += rules.word(text[at:end].encode())
+        at = end
+    return out
+
+
 class StreamDecoder:
     """Token ids in, text out: bytes of unfinished characters wait in the UTF-8 state.
 
@@ -313,6 +340,8 @@ class StreamDecoder:
 
 
 def decode(rules: Rules, ids: Iterable[int]) -> str:
+    if not rules.bytes_mode:
+        return " ".join([rules.token[i] for i in ids])
     stream = StreamDecoder(rules)
     return "".join(stream.feed(ids)) + stream.finish()
 
@@ -342,7 +371,7 @@ class Codec:
     def _make(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, str]]:
         out = []
         for c in chunks:
-            ids = tuple(encode(self.rules, c))
+            ids = tuple(encode_chunk(self.rules, c))
             out.append((ids, " ".join(map(str, ids)), decode(self.rules, ids)))
         return out
 
