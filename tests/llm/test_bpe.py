@@ -23,6 +23,7 @@ def ids_of(text):
 @given(st.text(max_size=40))
 def test_any_text_equals_the_library(text):
     assert bpe.encode(RULES, text) == ids_of(text)
+    assert [i for c in bpe.white_chunks(text) for i in bpe.encode_chunk(RULES, c)] == ids_of(text)
 
 
 @settings(max_examples=150, deadline=None)
@@ -60,6 +61,8 @@ def test_lookahead_follows_chains_of_rising_rank():
 def test_decoder_equals_the_library():
     for text in ["Hello, wörld!", "", "日本 é <|endoftext|>x", "a b"]:
         ids = ids_of(text)
+        stream = bpe.StreamDecoder(RULES)
+        assert "".join(stream.feed(ids)) + stream.finish() == bpe.decode(RULES, ids)
         assert bpe.decode(RULES, ids) == TOOL.decode(ids, skip_special_tokens=False)
 
 
