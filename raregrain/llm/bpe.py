@@ -35,20 +35,13 @@ from tokenizers import Tokenizer
 
 from .common import query, table
 from .tokenfiles import word_path
-from .tokens import WHITE, ChunkMemory, white_chunks
+from .tokens import WHITE, ChunkMemory, byte_symbols, white_chunks
 
 _IDS = 1 << 24  # more than any vocabulary has
 SHORT = 64  # chunks up to this length are remembered
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # fixed value: the split of the tokenizer file
 
 
-def byte_symbols() -> list[str]:
-    """The character that stands for each byte: printable Latin-1 for itself, the rest from 256 on."""
-    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in set(kept) else chr(next(spare)) for b in range(256)]
-
-
 def char_classes(splitter) -> tuple[str, str, str]:
     """Bodies of three character classes: letters, numbers, and what Python's character tables do not know.
 

@@ -9,6 +9,10 @@ remembered. Which chunks are independent is read from the tokenizer's file:
   characters that are not white space always starts a piece.
 
 With any other tokenizer a whole text is one chunk and nothing is remembered.
+
+Most new chunks are a word of letters with closing punctuation. Such a word is one piece of its own for
+both splitters, so it goes straight to the library's merge model, without the
+normaliser and splitter in front of it.
 """
 
 from __future__ import annotations
@@ -16,16 +20,25 @@ from __future__ import annotations
 import json
 import os
 import re
+import unicodedata
 from array import array
 
-MEMORY = 400_000  # chunks of one generation; a worker remembers two
+MEMORY = 250_000  # chunks of one generation; a worker remembers two
 # White_Space of Unicode: what the tokenizers library takes as \s. (Python's also has 0x1c-0x1f.)
 WHITE = "\t-\r \x85\xa0  -     　"
+CLOSING = ".,;:!?"
 _WHITE = re.compile(f"[{WHITE}]+")
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
 _ENCODERS: dict[str, "ChunkEncoder"] = {}
 
 
+def byte_symbols() -> list[str]:
+    """The character that stands for each byte: printable Latin-1 for itself, the rest from 256 on."""
+    kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in set(kept) else chr(next(spare)) for b in range(256)]
+
+
 def chunk_kind(spec: dict) -> str:
     """white, space or whole, from the tokenizer's file."""
     splitter, normaliser = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
@@ -86,17 +99,47 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.plain = ChunkMemory(self.ids)
+        self.model = self.tokenizer.model
+        self.symbols = dict(enumerate(byte_symbols()))
+        self.tails = {"": b""}
+        self.plain = ChunkMemory(self._chunks)
         self.spaced = ChunkMemory(self._after_space)
 
     def ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, chunk: str, before: str) -> bytes | None:
+        """Ids of letters with closing punctuation; None for any other chunk. ``before`` is "" or a space."""
+        core = chunk.rstrip(CLOSING)
+        if not core.isalpha():
+            return None
+        if self.kind == "white":
+            low = core.lower()
+            if not core.isascii() and ("Σ" in core or not low.isalpha() or not unicodedata.is_normalized("NFC", core)):
+                return None
+            core = low
+        tail = chunk[len(chunk.rstrip(CLOSING)):]
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {"": b""}
+            self.tails[tail] = self.ids([tail])[0]
+        if before or not core.isascii():
+            core = (before + core).encode().decode("latin-1").translate(self.symbols)
+        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes() + self.tails[tail]
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        if self.kind == "whole":
+            return self.ids(chunks)
+        out = [self._word(c, "") for c in chunks]
+        rest = iter(self.ids([c for c, x in zip(chunks, out) if x is None]))
+        return [next(rest) if x is None else x for x in out]
+
     def _after_space(self, words: list[str]) -> list[bytes | None]:
         """None for a word that does not stand alone behind a space."""
-        alone = [bool(w) and not (w[0].isspace() or w[-1].isspace()) for w in words]
-        found = iter(self.ids([f" {w}" for w, ok in zip(words, alone) if ok]))
-        return [next(found) if ok else None for ok in alone]
+        out = [self._word(w, " ") for w in words]
+        alone = [x is None and w and not (w[0].isspace() or w[-1].isspace()) for w, x in zip(words, out)]
+        rest = iter(self.ids([f" {w}" for w, ok in zip(words, alone) if ok]))
+        return [next(rest) if ok else x for ok, x in zip(alone, out)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if self.kind == "white":
