@@ -228,11 +228,13 @@ def read_token_files(folder: str, shards: DataFrame) -> DataFrame:
                 with fs.open_input_file(f"{root}/shard-{shard:08d}.ids") as f:
                     f.seek(f.size() - struct.calcsize(_FOOT))
                     at, n, magic = struct.unpack(_FOOT, f.read(struct.calcsize(_FOOT)))
+                    if magic != MAGIC:
+                        raise ValueError(f"shard {shard} of {folder} is no token-id file")
                     f.seek(at)
                     doc, null, ids, blocks = (np.frombuffer(f.read(8 * n), "<i8").tolist() for _ in range(4))
                     f.seek(0)
                     head, bits = struct.unpack(_HEAD, f.read(struct.calcsize(_HEAD)))
-                    if not magic == head == MAGIC:
+                    if head != MAGIC:
                         raise ValueError(f"shard {shard} of {folder} is no token-id file")
                     code, out, held = Code(bits), [], 0
                     for d, gone, count, parts in zip(doc, null, ids, blocks):
