@@ -77,5 +77,5 @@ def test_a_broken_file_is_refused(spark, small):
     fs, root = tf.shared_fs(folder)
     with fs.open_output_stream(f"{root}/shard-00000000.ids") as f:
         f.write(b"0" * 200)
-    with pytest.raises(Exception, match="no token-id file|index"):
+    with pytest.raises(Exception, match="no token-id file"):
         tf.read_token_files(folder, shards).collect()
