@@ -144,7 +144,7 @@ def describe_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
 def histogram(df: DataFrame, col: str, bins: int = 40) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed. Zero-count bins are absent."""
     lo, hi = df.agg(F.min(col), F.max(col)).first()
-    width = (hi - lo) / bins or 1.0
+    width = (hi - lo) / bins or 1.0 if lo is not None else 1.0  # an empty column has no bins
     b = F.least(F.floor((F.col(col) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1))
     return df.where(F.col(col).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -186,7 +186,7 @@ def binned_curve(df: DataFrame, x: str, y: str, id_col: str = S.ROW_ID, bins: in
 def scatter_cells(df: DataFrame, x: str, y: str, label: str = S.LABEL, bins: int = 20) -> DataFrame:
     """Scatter data per class, reduced to counts of an equal-width grid."""
     d = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    x0, x1, y0, y1 = d.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    x0, x1, y0, y1 = [v or 0.0 for v in d.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()]  # empty: no cells
 
     def cell(c, lo, hi):
         return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit((hi - lo) / bins or 1.0)), F.lit(bins - 1))

@@ -11,8 +11,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
+from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +22,8 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.scratch import materialise
 from . import metrics as M
-from .features import FoldFeatures
-from .sampling import balanced_weights, imbalance_ratio
+from .features import Encoder, FoldFeatures
+from .sampling import balanced_weights, imbalance_ratio, stratified_folds
 
 WEIGHT = "weight"
 C_GRID = [10 ** (-3 + 6 * i / 29) for i in range(30)]
@@ -43,6 +45,17 @@ def reg_from_c(c: float, weight_sum: float) -> float:
     return 1.0 / (c * weight_sum)
 
 
+class PenalisedLogit:
+    """Logistic regression of inverse strength C; the penalty is 1 / (C * sum of the weights of the rows it is fitted on)."""
+
+    def __init__(self, penalty: str, c: float, **over):
+        self.penalty, self.c, self.over = penalty, c, over
+
+    def fit(self, rows: DataFrame):
+        total = rows.agg(F.sum(WEIGHT)).first()[0]
+        return logit(self.penalty, reg_from_c(self.c, total), **self.over).fit(rows)
+
+
 def boosted(trees: int = 50, seed: int = S.SEED, **over):
     return GBTClassifier(labelCol=S.LABEL, weightCol=WEIGHT, maxIter=trees, seed=seed, **{**BOOST, **over})
 
@@ -67,11 +80,17 @@ BOOST_GRID = [{"maxDepth": d, "stepSize": s, "trees": t, "positive": w}
 SECOND_FOREST_GRID = [{"max_depth": d, "min_leaf": m} for d in (5, None) for m in (2, 5)]
 
 
-def logit_variants(weight_sum: float) -> dict[str, list]:
-    """The four logistic variants: name -> candidates to search (one candidate = no search)."""
-    return {"logit": [logit()], "logit + elimination": [logit()],
-            "logit l2": [logit("l2", reg_from_c(c, weight_sum)) for c in C_GRID],
-            "logit l1": [logit("l1", reg_from_c(c, weight_sum)) for c in C_GRID]}
+def logit_variants(weight_sum: float | None = None, **over) -> dict[str, list]:
+    """The four logistic variants: name -> candidates to search (one candidate = no search).
+
+    The sum of weights is that of the rows a candidate is fitted on; ``weight_sum`` fixes it instead.
+    """
+    def grid(penalty):
+        if weight_sum is not None:
+            return [logit(penalty, reg_from_c(c, weight_sum), **over) for c in C_GRID]
+        return [PenalisedLogit(penalty, c, **over) for c in C_GRID]
+    return {"logit": [logit(**over)], "logit + elimination": [eliminated(lambda f: logit(featuresCol=f, **over))],
+            "logit l2": grid("l2"), "logit l1": grid("l1")}
 
 
 # --------------------------------------------------------------------------- weights
@@ -132,6 +151,17 @@ def plain_parts(df: DataFrame) -> Callable[[int], tuple[DataFrame, DataFrame]]:
     return lambda f: (df.where(F.col("fold") != f), df.where(F.col("fold") == f))
 
 
+def scaled_parts(df: DataFrame, cols: list[str]) -> Callable[[int], tuple[DataFrame, DataFrame]]:
+    """Parts of a numeric table, scaled by the statistics of each fold's fit rows."""
+    df = df.drop("features")
+
+    def parts(f):
+        fit_rows = df.where(F.col("fold") != f)
+        scale = Encoder(cols, [], True).fit(fit_rows)
+        return scale.transform(fit_rows), scale.transform(df.where(F.col("fold") == f))
+    return parts
+
+
 # --------------------------------------------------------------------------- search
 def grid_search(parts, candidates: list, folds: list[int], weigh=weigh_balanced) -> tuple[int, DataFrame]:
     """(best index, table of mean average precision); the first best candidate wins.
@@ -153,7 +183,7 @@ def grid_search(parts, candidates: list, folds: list[int], weigh=weigh_balanced)
         out = s if out is None else out.unionByName(s)
     by = ["candidate", "fold"]
     ap = M.average_precision(M.curve(materialise(M.score_counts(out, by)), by), by)
-    table = materialise(ap.groupBy("candidate").agg(F.avg("auprc").alias("mean_auprc")))
+    table = materialise(ap.groupBy("candidate").agg(F.round(F.avg("auprc"), 12).alias("mean_auprc")))
     for rows, _ in prepared.values():
         rows.unpersist()
     best = table.agg(F.max(F.struct("mean_auprc", (-F.col("candidate")).alias("c"))).alias("b")).first()["b"]
@@ -177,27 +207,62 @@ def cross_validated(models: dict, parts, folds: list[int], threshold: float = 0.
     return M.fold_summary(m, ["roc_auc", "auprc", "f1", "balanced_accuracy"], list(models))
 
 
-def eliminate_features(names: list[str], parts_of: Callable, make, folds: list[int], min_features: int = 5,
-                       step: int = 1):
-    """Recursive elimination: drop the smallest |coefficient| until ``min_features`` are left.
+def elimination_path(rows: DataFrame, make, min_features: int, step: int) -> list[tuple[list[int], PipelineModel]]:
+    """(kept positions of the vector, fitted model) from all features down to ``min_features``.
 
-    ``parts_of(names)`` gives fold parts restricted to some columns.  The size
-    with the best mean average precision wins (the larger one on ties).
-    Returns (selected names, rows (n_features, mean_auprc)).
+    Every fit drops the ``step`` smallest |coefficients|; only ``rows`` are looked at. ``make(column)``
+    builds the estimator on a vector column.
     """
-    current, history = list(names), []
+    rows = weigh_balanced(rows).persist()
+    size = rows.select(vector_to_array("features").alias("x")).select(F.size("x")).first()[0]
+    kept, out = list(range(size)), []
     while True:
-        _, table = grid_search(parts_of(current), [make()], folds)
-        history.append((len(current), table.first()["mean_auprc"], list(current)))
-        if len(current) <= min_features:
-            break
-        fit_rows, held = parts_of(current)(folds[0])
-        model = make().fit(weigh_balanced(fit_rows.unionByName(held)))
-        coef = [abs(c) for c in model.coefficients.toArray()]
-        drop = set(sorted(range(len(coef)), key=lambda i: coef[i])[:min(step, len(current) - min_features)])
-        current = [n for i, n in enumerate(current) if i not in drop]
-    best = max(history, key=lambda h: (h[1], h[0]))
-    return best[2], [(n, ap) for n, ap, _ in history]
+        cut = VectorSlicer(inputCol="features", outputCol="__kept", indices=kept)
+        model = make("__kept").fit(cut.transform(rows))
+        out.append((kept, PipelineModel(stages=[cut, model])))
+        if len(kept) <= min_features:
+            rows.unpersist()
+            return out
+        weight = [abs(c) for c in model.coefficients.toArray()]
+        drop = set(sorted(range(len(kept)), key=lambda i: weight[i])[:min(step, len(kept) - min_features)])
+        kept = [k for i, k in enumerate(kept) if i not in drop]
+
+
+def eliminate_features(names: list[str], parts, make, folds: list[int], whole: DataFrame, min_features: int = 5,
+                       step: int = 1):
+    """Recursive elimination with the number of features chosen by held-out rows.
+
+    In each fold the whole elimination runs on the fit rows alone and every size is scored on the held-out
+    rows; the size with the best mean average precision wins (the larger one on ties), and
+    an elimination on ``whole`` goes down to that size.
+    Returns (selected names, rows (n_features, mean_auprc), features chosen in each fold at that size).
+    """
+    paths = dict(zip(folds, _parallel(lambda f: elimination_path(parts(f)[0], make, min_features, step), folds)))
+    out = None
+    for f in folds:
+        held = parts(f)[1]
+        for kept, model in paths[f]:
+            s = score(model, held).withColumn("candidate", F.lit(len(kept)))
+            out = s if out is None else out.unionByName(s)
+    by = ["candidate", "fold"]
+    ap = M.average_precision(M.curve(M.score_counts(out, by), by), by)
+    sizes = [(r["candidate"], r["m"]) for r in ap.groupBy("candidate").agg(F.avg("auprc").alias("m")).collect()]
+    best = max(sizes, key=lambda h: (h[1], h[0]))[0]
+    final = next(kept for kept, _ in elimination_path(whole, make, min_features, step) if len(kept) == best)
+    chosen = {f: [names[i] for i in next(k for k, _ in paths[f] if len(k) == best)] for f in folds}
+    return [names[i] for i in final], sorted(sizes, reverse=True), chosen
+
+
+def eliminated(make, min_features: int = 5, step: int = 1, k: int = S.N_FOLDS):
+    """Elimination as one classifier: (fit rows, fold) -> model; the folds that choose the size lie inside the fit rows."""
+    def fit(rows: DataFrame, _fold):
+        inner = stratified_folds(rows.drop("fold"), k, S.INNER_SEED)
+        size = rows.select(vector_to_array("features").alias("x")).select(F.size("x")).first()[0]
+        names = [str(i) for i in range(size)]
+        keep, _, _ = eliminate_features(names, plain_parts(inner), make, list(range(k)), rows, min_features, step)
+        cut = VectorSlicer(inputCol="features", outputCol="__kept", indices=[int(i) for i in keep])
+        return PipelineModel(stages=[cut, make("__kept").fit(cut.transform(weigh_balanced(rows)))])
+    return fit
 
 
 # --------------------------------------------------------------------------- early stopping
@@ -212,19 +277,20 @@ def stopped_iteration(losses: list[float], patience: int = 50) -> int:
     return at
 
 
-def freeze_tree_count(split_rows: Callable[[int], tuple[DataFrame, DataFrame]], folds: list[int], cap: int = 100,
-                      patience: int = 50, weigh=weigh_positives(), **params) -> tuple[int, list[int]]:
+def freeze_tree_count(split_rows: Callable[[int], tuple[DataFrame, DataFrame]], folds: list[int], cap: int = 4000,
+                      patience: int = 50, weigh=weigh_positives(), **params) -> tuple[int, list[int], list[int]]:
     """Number of trees = int(1.1 * median over folds of the early-stopped iteration).
 
     ``split_rows(f)`` gives (fit rows, stopping rows), both from the training
-    part of fold f; one fit of ``cap`` trees serves every prefix.
+    part of fold f; one fit of ``cap`` trees serves every prefix. The loss of the stopping rows is not
+    weighted. Also returns each fold's iteration and the folds whose loss was still falling at the cap.
     """
     def one(f):
         fit_rows, stop_rows = split_rows(f)
         model = boosted(cap, **params).fit(weigh(fit_rows))
-        return stopped_iteration(list(model.evaluateEachIteration(weigh(stop_rows))), patience)
+        return stopped_iteration(list(model.evaluateEachIteration(weigh_equally(stop_rows))), patience)
     best = _parallel(one, folds)
-    return int(statistics.median(best) * 1.1), best
+    return int(statistics.median(best) * 1.1), best, [f for f, n in zip(folds, best) if n > cap - patience]
 
 
 # --------------------------------------------------------------------------- protocol
@@ -251,7 +317,7 @@ RESULT_SCHEMA = ("model string, threshold double, precision double, recall doubl
 
 
 def evaluate(name: str, classifier, parts, train: DataFrame, test: DataFrame, folds: list[int], *, beta: float = 1.0,
-             n_boot: int = 1000, exact_bootstrap: bool = True, weigh=weigh_balanced) -> Result:
+             n_boot: int = 1000, exact_bootstrap: bool = False, weigh=weigh_balanced) -> Result:
     """Out-of-fold scores -> threshold -> refit -> hold-out metrics -> bootstrap intervals.
 
     The test rows are used only after the threshold is fixed.

@@ -62,7 +62,8 @@ def synthetic_rows(train: DataFrame, numeric: list[str], cats: list[str], *, k:
     if penalty is None:
         penalty = sd_penalty(minority, numeric) if cats else 0.0
     space = Space(list(numeric), code_cols, penalty)
-    k = min(k, n1 - 1)
+    if n1 <= k:
+        raise ValueError(f"{n1} minority rows have no {k} neighbours each")
     near = materialise(knn(build_tree(pts, id_col, space, leaf_size), k))
     base = id_rank(pts, id_col, "__idx").withColumn("__idx", F.col("__idx") - 1)
     s = _slots(train, n_new, n1, k, seed).join(base, "__idx").drop("__idx")

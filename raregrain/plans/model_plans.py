@@ -199,33 +199,34 @@ def _(spark, sf):
 # --------------------------------------------------------------------------- search, trees
 @query("grid_best", flags_sql(["best_is_maximum", "first_wins", "one_score_per_candidate"], N_VEC))
 def _(spark, sf):
-    d = sensory(spark, sf, 2)
-    grid = [L.decision_tree(**g) for g in ({"max_depth": 3, "min_leaf": 4}, {"max_depth": 3, "min_leaf": 4}, {"max_depth": 5, "min_leaf": 16})]
-    best, table = L.grid_search(L.plain_parts(d), grid, [0, 1])
+    d = sensory(spark, sf)
+    grid = [L.decision_tree(**g) for g in [L.TREE_GRID[0], *L.TREE_GRID]]  # the first one twice: ties
+    best, table = L.grid_search(L.plain_parts(d), grid, [0, 1, 2, 3, 4])
     ap = {r["candidate"]: r["mean_auprc"] for r in table.collect()}
     return _flags(spark, d.count(), best_is_maximum=ap[best] == max(ap.values()), first_wins=best != 1 and ap[0] == ap[1],
-                  one_score_per_candidate=len(ap) == 3)
+                  one_score_per_candidate=len(ap) == 17)
 
 
 @query("feature_elimination")
 def _(spark, sf):
-    d = sensory(spark, sf, 2)
-
-    def parts_of(names):
-        v = VectorAssembler(inputCols=names, outputCol="features").transform(d.drop("features"))
-        return L.plain_parts(v)
-    names, sizes = L.eliminate_features(E6, parts_of, lambda: L.logit(max_iter=50), [0, 1], min_features=5)
+    d = sensory(spark, sf)
+    whole = X.Encoder(E6, [], True).fit(d.drop("features")).transform(d.drop("features"))
+    names, sizes, _ = L.eliminate_features(E6, L.scaled_parts(d, E6), lambda f: L.logit(featuresCol=f, max_iter=100),
+                                           [0, 1, 2, 3, 4], whole, min_features=2)
     return spark.createDataFrame([(n, float(a), len(names) == n) for n, a in sizes],
                                  "n_features int, mean_auprc double, selected boolean")
 
 
+LASSO_GRID = [10 ** (-4 + 8 * i / 19) for i in range(20)]  # fixed values: inverse strengths of the path
+
+
 @query("lasso_path")
 def _(spark, sf):
-    d = scaled_sensory(spark, sf).where("fold < 4")
-    w = float(d.count())
-    grid = [L.logit("l1", L.reg_from_c(c, w), max_iter=50) for c in (0.01, 0.1, 1.0)]
-    best, _ = L.grid_search(L.plain_parts(d), grid, [0, 1])
-    m = grid[best].fit(L.weigh_balanced(d))
+    d = V.stratified_holdout(sensory(spark, sf).drop("fold", "features"), 0.25)
+    train = materialise(V.stratified_folds(d.where("NOT is_test"), 5, S.INNER_SEED))
+    grid = [L.PenalisedLogit("l1", c, max_iter=100) for c in LASSO_GRID]
+    best, _ = L.grid_search(L.scaled_parts(train, E6), grid, [0, 1, 2, 3, 4])
+    m = grid[best].fit(L.weigh_balanced(X.Encoder(E6, [], True).fit(train).transform(train)))
     return rounded(spark.createDataFrame([(n, float(c), abs(float(c))) for n, c in zip(E6, m.coefficients)],
                                          "feature string, lasso_coef double, abs_lasso_coef double")).orderBy(F.desc("abs_lasso_coef"))
 
@@ -242,10 +243,9 @@ def _(spark, sf):
 
 @query("second_track_cv")
 def _(spark, sf):
-    d = scaled_sensory(spark, sf)
-    w = float(d.count())
-    models = {"logit": L.logit("l2", L.reg_from_c(1.0, w), max_iter=50), "forest": L.random_forest(max_depth=5, trees=10, min_leaf=2)}
-    return rounded(L.cross_validated(models, L.plain_parts(d), [0, 1, 2, 3, 4]))
+    d = sensory(spark, sf)
+    models = {"logit": L.PenalisedLogit("l2", 1.0, max_iter=100), "forest": L.random_forest(max_depth=5, trees=100, min_leaf=2)}
+    return rounded(L.cross_validated(models, L.scaled_parts(d, E6), [0, 1, 2, 3, 4]))
 
 
 @query("early_stop_count", flags_sql(["count_in_range", "count_from_median"], N_VEC))
@@ -255,7 +255,7 @@ def _(spark, sf):
     def split(f):
         s = V.early_stopping_split(d, f)
         return s.where("NOT is_validation"), s.where("is_validation")
-    n, best = L.freeze_tree_count(split, [0, 1], cap=10, patience=5)
+    n, best, _ = L.freeze_tree_count(split, [0, 1], cap=10, patience=5)
     return _flags(spark, d.count(), count_in_range=0 < n <= 11, count_from_median=n == int(sum(best) / 2 * 1.1))
 
 

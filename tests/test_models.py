@@ -88,3 +88,63 @@ def test_scaled_track_is_standard(spark, sf):
     r = scaled_sensory(spark, sf).agg(*[F.avg(c) for c in E6], *[F.stddev_pop(c) for c in E6]).first()
     assert list(r) == pytest.approx([0.0] * 6 + [1.0] * 6, abs=1e-9)
     assert T.EMBED_DIMS == E6
+
+
+def test_penalty_follows_the_fitted_rows(spark, data):
+    rows = L.weigh_balanced(data)
+    half = L.weigh_balanced(data.where("row_id % 2 = 0"))
+    for d in (rows, half):
+        total = d.agg(F.sum(L.WEIGHT)).first()[0]
+        want = L.logit("l2", 1.0 / (0.01 * total), max_iter=50).fit(d).coefficients
+        assert list(L.PenalisedLogit("l2", 0.01, max_iter=50).fit(d).coefficients) == pytest.approx(list(want))
+
+
+def test_elimination_of_a_fold_never_sees_its_held_out_rows(spark, data):
+    other = data.withColumn("label", F.when(F.col("fold") == 0, 1 - F.col("label")).otherwise(F.col("label")))
+
+    def chosen(d):
+        return L.eliminate_features(E6, L.scaled_parts(d, E6), lambda f: L.logit(featuresCol=f, max_iter=20), [0, 1, 2],
+                                    d, min_features=4)
+    a, b = L.scaled_parts(data, E6)(0)[0], L.scaled_parts(other, E6)(0)[0]
+    assert a.exceptAll(b).isEmpty()
+    paths = [[k for k, _ in L.elimination_path(x, lambda f: L.logit(featuresCol=f, max_iter=20), 4, 1)] for x in (a, b)]
+    assert paths[0] == paths[1]
+    names, sizes, folds = chosen(data)
+    assert [n for n, _ in sizes] == [6, 5, 4] and set(folds) == {0, 1, 2} and set(names) <= set(E6)
+
+
+def test_elimination_is_a_classifier(spark, data):
+    fit = L.eliminated(lambda f: L.logit(featuresCol=f, max_iter=10), min_features=5, k=2)
+    oof = L.oof_scores(L.plain_parts(data), fit, [0, 1, 2])
+    assert oof.count() == data.count()
+
+
+def test_parts_are_scaled_by_their_fit_rows(spark, data):
+    for f in (0, 2):
+        fit_rows, held = L.scaled_parts(data, E6)(f)
+        x = np.array([r[0] for r in fit_rows.select(vector_to_array("features")).collect()])
+        assert np.allclose(x.mean(axis=0), 0, atol=1e-9) and np.allclose(x.std(axis=0), 1, atol=1e-9)
+        assert held.count() > 0
+
+
+def test_early_stopping_takes_the_plain_loss_and_reports_the_cap(spark, data):
+    def split(f):
+        return data.where(F.col("fold") != f), data.where(F.col("fold") == f)
+    n, best, capped = L.freeze_tree_count(split, [0, 1], cap=3, patience=2)
+    model = L.boosted(3).fit(L.weigh_positives()(split(0)[0]))
+    assert best[0] == L.stopped_iteration(list(model.evaluateEachIteration(L.weigh_equally(split(0)[1]))), 2)
+    assert capped == [f for f, b in zip([0, 1], best) if b > 1]
+    assert L.stopped_iteration([3, 2, 2.5, 2.4, 1], 2) == 2
+
+
+def test_oversampling_needs_neighbours(spark):
+    from raregrain.operators.resample import oversample
+    d = spark.range(40).selectExpr("id AS row_id", "CAST(id < 3 AS int) AS label", "CAST(id AS double) AS x")
+    with pytest.raises(ValueError):
+        oversample(d, ["x"], [])
+
+
+def test_empty_histogram_and_scatter(spark):
+    from raregrain.operators.describe import histogram, scatter_cells
+    d = spark.createDataFrame([], "row_id bigint, label int, x double, y double")
+    assert histogram(d, "x").count() == 0 and scatter_cells(d, "x", "y").count() == 0
