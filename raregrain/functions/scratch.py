@@ -31,6 +31,12 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/raregrain-{uuid.uuid4().hex}"
 
 
+def _remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Let the file system drop an intermediate folder when the driver's JVM ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write a frame once and read it back: short lineage, column pruning and size statistics.
 
@@ -38,6 +44,7 @@ def materialise(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """
     path = scratch_path(df.sparkSession)
     (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
+    _remove_at_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

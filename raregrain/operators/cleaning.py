@@ -51,6 +51,26 @@ def zero_to_missing(col: str) -> Column:
     return F.nullif(F.col(col), F.lit(0).cast("double"))
 
 
+def above(col: str, cut: float) -> Column:
+    """Keep scores over the placeholder value."""
+    return F.col(col) > cut
+
+
+def has_geography() -> Column:
+    return F.col("country").isNotNull() | F.col("subregion").isNotNull()
+
+
+def not_level(col: str, level: str) -> Column:
+    """Keep all levels but one; a missing level counts as ``Unknown``."""
+    return F.coalesce(col, F.lit(S.UNKNOWN)) != level
+
+
+def fill_constant(df: DataFrame, cols: tuple | list, value=0) -> DataFrame:
+    """Missing values of the columns that exist become ``value``."""
+    present = [c for c in cols if c in df.columns]
+    return df.fillna(value, subset=present) if present else df
+
+
 def _prepared(raw: DataFrame, rules: Rules) -> DataFrame:
     """All value repairs that do not remove rows."""
     df = text_hygiene(raw.drop(*rules.admin))
@@ -58,19 +78,16 @@ def _prepared(raw: DataFrame, rules: Rules) -> DataFrame:
         "processing": relabel(F.col("processing"), rules.labels),
         "color": relabel(F.lower("color"), rules.color_merge),
     })
-    present = [c for c in rules.fill_zero if c in df.columns]
-    df = df.fillna(0, subset=present) if present else df
-    return df
+    return fill_constant(df, rules.fill_zero)
 
 
 def _filters(rules: Rules) -> list[tuple[str, Column]]:
     """Row filters in order; ``Unknown`` is filled before the level is dropped."""
-    processing = F.coalesce("processing", F.lit(S.UNKNOWN))
     return [
-        ("drop placeholder score", F.col("score") > 0),
-        ("drop rows without geography", F.col("country").isNotNull() | F.col("subregion").isNotNull()),
+        ("drop placeholder score", above("score", 0)),
+        ("drop rows without geography", has_geography()),
         ("drop implausible altitudes", in_range_or_missing("altitude", *rules.value_range)),
-        ("drop processing level", processing != rules.dropped_level),
+        ("drop processing level", not_level("processing", rules.dropped_level)),
     ]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -43,11 +45,9 @@ def principal_components(df: DataFrame, cols: list[str], k: int | None = None, k
 def kmeans(df: DataFrame, cols: list[str], k: int, seed: int = S.SEED, n_init: int = 10):
     """Best of ``n_init`` seeded runs by cost: (model, rows with ``cluster``)."""
     v = VectorAssembler(inputCols=cols, outputCol="features").transform(df)
-    best = None
-    for i in range(n_init):
-        m = KMeans(k=k, seed=seed + i, maxIter=100).fit(v)
-        if best is None or m.summary.trainingCost < best.summary.trainingCost:
-            best = m
+    with ThreadPool(min(4, n_init)) as pool:  # the runs are jobs of their own
+        models = pool.map(lambda i: KMeans(k=k, seed=seed + i, maxIter=100).fit(v), range(n_init))
+    best = min(models, key=lambda m: m.summary.trainingCost)
     return best, best.transform(v).withColumnRenamed("prediction", "cluster").drop("features")
 
 

@@ -34,7 +34,7 @@ def _(spark, sf):
 
 @query("placeholder_filter", "SELECT row_id, score FROM (WITH " + Q.RAW + " SELECT * FROM raw_lots) WHERE score > 1000")
 def _(spark, sf):
-    return T.raw_lots(spark, sf).where("score > 1000").select("row_id", "score")
+    return T.raw_lots(spark, sf).where(C.above("score", 1000)).select("row_id", "score")
 
 
 @query("drop_admin_columns", "WITH " + Q.RAW + """ SELECT row_id, score, country, subregion, altitude, moisture, c1, c2,
@@ -54,7 +54,7 @@ def _(spark, sf):
   WHERE country IS NOT NULL OR subregion IS NOT NULL""")
 def _(spark, sf):
     d = T.raw_lots(spark, sf).select("row_id", F.nullif("country", F.lit("CHINA")).alias("country"), "subregion")
-    return d.dropna(how="all", subset=S.GEO)
+    return d.where(C.has_geography())
 
 
 @query("label_harmonise", "WITH " + Q.RAW + """ SELECT row_id, CASE trim(processing) WHEN '1-URGENT' THEN 'Urgent'
@@ -68,7 +68,7 @@ def _(spark, sf):
 
 @query("constant_fill", "WITH " + Q.RAW + " SELECT row_id, coalesce(c1, 0) AS c1, coalesce(c2, 0) AS c2 FROM raw_lots")
 def _(spark, sf):
-    return T.raw_lots(spark, sf).select("row_id", "c1", "c2").fillna(0, subset=["c1", "c2"])
+    return T.raw_lots(spark, sf).select("row_id", "c1", "c2").transform(C.fill_constant, ["c1", "c2"])
 
 
 @query("range_filter_keep_null", "WITH " + Q.RAW + """ SELECT row_id, altitude FROM raw_lots
@@ -87,8 +87,8 @@ def _(spark, sf):
 @query("drop_level", "WITH " + Q.RAW + """, h AS (SELECT row_id, coalesce(trim(processing), 'Unknown') AS processing FROM raw_lots)
   SELECT * FROM h WHERE processing <> '5-LOW'""")
 def _(spark, sf):
-    return (T.raw_lots(spark, sf).select("row_id", F.trim("processing").alias("processing"))
-            .fillna(S.UNKNOWN).where("processing <> '5-LOW'"))
+    d = T.raw_lots(spark, sf).select("row_id", F.trim("processing").alias("processing"))
+    return d.where(C.not_level("processing", "5-LOW")).transform(C.fill_constant, ["processing"], S.UNKNOWN)
 
 
 @query("sentinel_to_null", "WITH " + Q.RAW + """ SELECT row_id, nullif(moisture, 0) AS moisture,

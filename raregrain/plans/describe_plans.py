@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.scratch import materialise
 from ..operators import describe as D
 from ..operators.cleaning import band
 from ..sources import tables as T
@@ -186,7 +187,8 @@ def _(spark, sf):
     from ..functions.ranking import running_sums
     d = T.scored_events(spark, sf)
     per = running_sums(d.groupBy("score").agg(F.count(F.lit(1)).alias("n")), "score", {"cum": "n"})
-    ranks = per.select("score", (F.col("cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("avg_rank"))
+    # Stored, so that its size is known: rows are not shuffled on a few hot scores where it is small.
+    ranks = materialise(per.select("score", (F.col("cum") - F.col("n") + (F.col("n") + 1) / 2.0).alias("avg_rank")))
     return d.join(ranks, "score").select("row_id", "avg_rank")
 
 

@@ -412,7 +412,8 @@ def _(spark, sf):
 
 @query("importance_cut", Q.vec(_PERM) + "SELECT feature FROM imp WHERE importance_mean > 0.005")
 def _(spark, sf):
-    return _linear_importance(spark, sf).where("importance_mean > 0.005").select("feature")
+    keep = I.selected_columns(materialise(_linear_importance(spark, sf)), 0.005)
+    return spark.createDataFrame([(c,) for c in keep], "feature string")
 
 
 @query("raw_feature_sum", Q.lots("""e AS (SELECT 'variety_' || variety AS f, moisture AS v FROM clean UNION ALL

@@ -31,11 +31,14 @@ def _(spark, sf):
     return spark.read.schema(d.schema).json(path)
 
 
-@query("report_lines", Q.lots() + "SELECT count(DISTINCT country) + 1 AS n_lines FROM clean")
+@query("report_lines", Q.lots() + """SELECT printf('%-24s %12s %12s %12s %12s', 'country', 'n', 'n_positive',
+  'positive_rate', 'mean_score') AS line
+UNION ALL SELECT printf('%-24s %12d %12d %12.6f %12.6f', country, count(*), sum(label)::BIGINT,
+  round(avg(label::DOUBLE), 6), round(avg(score), 6)) FROM clean WHERE country IS NOT NULL GROUP BY country""")
 def _(spark, sf):
     path = scratch_path(spark)
     sinks.write_report(rounded(D.rate_by(clean_lots(spark, sf), "country")), path)
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("n_lines"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 @query("coordinates_csv", "WITH " + Q.GEO + " SELECT country, subregion, latitude, longitude FROM geo")

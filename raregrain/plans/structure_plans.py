@@ -138,12 +138,13 @@ def _(spark, sf):
                   scores_uncorrelated=all(abs(st[f"x{i}{j}"]) < 1e-6 for i in range(6) for j in range(i)))
 
 
-@query("pca_cumulative", Q.vec() + """SELECT 'pc6' AS component, 1.0::DOUBLE AS cumulative, count(*) AS n_rows FROM vec""")
+@query("pca_cumulative", Q.vec() + """SELECT 6::BIGINT AS n_components, 1.0::DOUBLE AS cumulative, round(6 + 2 * (""" + " + ".join(
+    f"corr(e{i}, e{j}) * corr(e{i}, e{j})" for i in range(2, 7) for j in range(1, i)) + """), 6) AS sum_of_squares FROM vec""")
 def _(spark, sf):
-    v = T.vectors(spark, sf)
-    ratios, _, scores = U.principal_components(v, T.EMBED_DIMS)
-    n = scores.count()
-    return rounded(ratios.where("component = 'pc6'").select("component", "cumulative", F.lit(n).cast("long").alias("n_rows")))
+    """The eigenvalues (six times the ratios) of a correlation matrix have its squared entries as their sum of squares."""
+    ratios, _, _ = U.principal_components(T.vectors(spark, sf), T.EMBED_DIMS)
+    return rounded(ratios.agg(F.count(F.lit(1)).alias("n_components"), F.max("cumulative").alias("cumulative"),
+                              F.sum(F.pow(6 * F.col("ratio"), 2)).alias("sum_of_squares")))
 
 
 @query("pca_loadings")
@@ -152,12 +153,16 @@ def _(spark, sf):
     return loads.groupBy("feature").pivot("component").agg(F.bround(F.first("loading"), 3))
 
 
-@query("band_projection", Q.vec() + """SELECT CASE WHEN e1 < -0.05 THEN 0 WHEN e1 < 0.05 THEN 1 ELSE 2 END AS band,
-  count(*) AS n FROM vec GROUP BY 1""")
+@query("band_projection", Q.vec("st AS (SELECT " + ", ".join(
+    f"avg(e{i}) AS m{i}, stddev_pop(e{i}) AS s{i}" for i in range(1, 7)) + " FROM vec)") + """SELECT
+  CASE WHEN e1 < -0.05 THEN 0 WHEN e1 < 0.05 THEN 1 ELSE 2 END AS band, count(*) AS n, round(sum(""" + " + ".join(
+    f"((e{i} - m{i}) / s{i}) * ((e{i} - m{i}) / s{i})" for i in range(1, 7)) + """), 4) AS energy FROM vec, st GROUP BY 1""")
 def _(spark, sf):
+    """All components of a row have the squared length of its standardised columns: summed by band."""
     _, _, scores = U.principal_components(T.vectors(spark, sf), T.EMBED_DIMS, keep=("row_id", "e1"))
-    two = scores.select("row_id", "pc1", "pc2", band("e1", (-0.05, 0.05)).alias("band"))
-    return two.where("pc1 IS NOT NULL AND pc2 IS NOT NULL").groupBy("band").agg(F.count(F.lit(1)).alias("n"))
+    length = sum([F.col(f"pc{i}") * F.col(f"pc{i}") for i in range(1, 7)], F.lit(0.0))
+    return rounded(scores.select(band("e1", (-0.05, 0.05)).alias("band"), length.alias("d"))
+                   .groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("energy")), 4)
 
 
 @query("kmeans_nearest", flags_sql(["all_rows_at_nearest_centre", "centres_are_means", "cost_is_sum_of_squares"], _N))
@@ -177,7 +182,7 @@ def _(spark, sf):
 
 @query("kmeans_silhouettes")
 def _(spark, sf):
-    return U.kmeans_silhouettes(T.vectors(spark, sf), T.EMBED_DIMS, ks=range(2, 5), n_init=1)
+    return U.kmeans_silhouettes(T.vectors(spark, sf), T.EMBED_DIMS)
 
 
 @query("bisecting_tree")
