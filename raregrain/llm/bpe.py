@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import query, table
+from .common import bounded_batches, query, table
 from .tokenfiles import word_path
 from .tokens import WHITE, ChunkMemory, byte_symbols, white_chunks
 
@@ -388,6 +388,7 @@ def codec(path: str) -> Codec:
 
 def _scan(docs: DataFrame, path: str, text: str, outputs: list[T.StructField], row) -> DataFrame:
     """``docs`` and what ``row`` makes of the chunks of each text."""
+    bounded_batches(docs.sparkSession)
     names = [f.name for f in outputs]
     own = [c for c in docs.columns if c not in names]
     chosen = docs.select(*[docs[f"`{c}`"] for c in own])

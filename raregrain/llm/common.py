@@ -42,6 +42,20 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python at most ``BATCH_ROWS`` at a time: Spark's 10,000 rows of text fill an executor's memory.
+
+    A smaller setting of the session stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions: the one knob that says how wide the work is dealt out."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

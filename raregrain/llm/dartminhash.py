@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import from_files, partitions, query, split_key, table
+from .common import bounded_batches, from_files, partitions, query, split_key, table
 from .splits import MESSAGE, by_split, exchange, load, message, pack, runs, unpack
 from .words import mix, shingles, small_batches, word_hashes
 
@@ -309,6 +309,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
 
     ``rep_id`` is the smallest id with the same words.
     """
+    bounded_batches(docs.sparkSession)
     docs = from_files(docs)
     tagged = docs.select(split_key().alias("split"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     prints = materialise(_fingerprints(tagged, bands, rows))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import query, table
+from .common import bounded_batches, query, table
 
 SAMPLE = 3000
 ROUNDS = 3
@@ -208,6 +208,7 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", id_c
 
 def predict(docs: DataFrame, path: str, names: list[str], probs: np.ndarray, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score, the share of the best language in the summed likelihood."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(probs)
     own = [c for c in docs.columns if c not in OUTPUTS]
     place = own.index(text)

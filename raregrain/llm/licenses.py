@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import query, table
+from .common import bounded_batches, query, table
 
 RANKED = 4  # templates whose wording is compared, best saving first
 LACKING = 0.2  # largest share of a template's words that a confirmed block may lack
@@ -201,6 +201,7 @@ def _packer(raw: zstandard.ZstdCompressionDict | None) -> zstandard.ZstdCompress
 def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None, text: str = "text",
                   id_col: str = "doc_id") -> DataFrame:
     """One row per finding: id, line, n_lines, license (null: not confirmed), template, saving, lacking, added."""
+    bounded_batches(docs.sparkSession)
     given = TEMPLATES if templates is None else templates
     ident = docs.schema[id_col].dataType
     kind = T.StructType([

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import query, table
+from .common import bounded_batches, query, table
 from .tokens import encoder
 
 CAPACITY = 2048
@@ -175,6 +175,7 @@ def places(patterns: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[
 def pack_documents(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id",
                    capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece."""
+    bounded_batches(docs.sparkSession)
     found = materialise(pieces(docs, path, text, id_col, capacity, end))
     by_task = found.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import ordered_cuts, partitions, query, table
+from .common import bounded_batches, ordered_cuts, partitions, query, table
 from .words import mix, owners, small_batches, word_hashes
 
 LANES = 4  # 64-bit words of a fingerprint
@@ -87,6 +87,7 @@ def text_fingerprints(texts: list[str]) -> np.ndarray:
 def fingerprint_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likeness; lanes as array<long>."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(LOWEST))).alias("key"),
                        F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     ids = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(int(LOWEST))).alias("key"))

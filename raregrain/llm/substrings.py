@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, from_files, partitions, query, split_key, table
+from .common import bounded_batches, fresh, from_files, partitions, query, split_key, table
 from .splits import MESSAGE, by_part, by_split, exchange, load, pack, unpack
 from .words import hash_spans, owners, small_batches, utf8, windows, word_hashes, word_spans
 
@@ -195,6 +195,7 @@ def dedup_substrings(docs: DataFrame, text: str = "text", id_col: str = "doc_id"
     """``docs`` with kept_text, n_words and n_removed."""
     if {(a - b) % period for a in cover for b in cover} != set(range(period)) or period > width:
         raise ValueError(f"{cover} is no difference cover modulo {period} below {width}")
+    bounded_batches(docs.sparkSession)
     docs = from_files(docs)
     # The key is made beside _metadata, in the scan's own projection, before any other column.
     tagged = docs.select(split_key().alias("split"), F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))

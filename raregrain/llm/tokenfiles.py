@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise, scratch_path
-from .common import ordered_cuts, query, shared_fs, shared_uri, table, write_atomically
+from .common import bounded_batches, ordered_cuts, query, shared_fs, shared_uri, table, write_atomically
 from .tokens import encoder
 
 MAGIC = b"RANKIDS1"
@@ -131,6 +131,7 @@ def write_token_files(docs: DataFrame, folder: str, path: str, text: str = "text
                       end: int = END) -> DataFrame:
     """Write the ids of all documents under ``folder``; (shard, docs, ids) of each file written."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     fs, root = shared_fs(folder)
     fs.create_dir(root)
     rows = _encoded(docs, path, text, id_col, end)
