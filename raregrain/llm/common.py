@@ -42,18 +42,18 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-BATCH_ROWS = 1000
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 23}
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Send texts to Python at most ``BATCH_ROWS`` at a time: Spark's 10,000 rows of text fill an executor's memory.
+    """Send texts to Python in small batches: Spark's 10,000 rows of text fill an executor's memory.
 
-    A smaller setting of the session stays.
+    Smaller settings of the session stay.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    for name, most in BATCH.items():
+        now = spark.conf.get(name).rstrip("bB")
+        if now.lstrip("-").isdigit() and not 0 < int(now) <= most:
+            spark.conf.set(name, most)
 
 
 def partitions(spark: SparkSession) -> int:
