@@ -192,22 +192,31 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every linked id; the component is its smallest id.
 
-    Each round every id takes the smallest label around it and then the label of
-    its label, so chains shrink by more than half; a round is a stored table.
+    Each round every id points to its smallest neighbour, pointers are followed to their ends by
+    doubling, and the links are contracted to the ends; at most half of the ids are left, and stars vanish at once.
     """
-    edges = materialise(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = materialise(edges.groupBy(F.col("a").alias("id"))
-                         .agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    edges = materialise(_pairs(links, "a", "b").distinct())
+    labels = None
     while True:
-        near = (edges.join(labels, F.col("b") == F.col("id")).groupBy(F.col("a").alias("id"))
-                .agg(F.min("component").alias("seen")))
-        low = labels.join(near, "id").select("id", "component", F.least("component", "seen").alias("low"))
-        jump = labels.select(F.col("id").alias("low"), F.col("component").alias("further"))
-        new = materialise(low.join(jump, "low").select(
-            "id", F.least("low", "further").alias("component"),
-            (F.least("low", "further") < F.col("component")).alias("moved")))
-        labels = new.select("id", "component")
-        if not new.where("moved").limit(1).count():
+        both = edges.union(edges.select("b", "a"))
+        ends = materialise(both.groupBy(F.col("a").alias("id"))
+                           .agg(F.min(F.least("a", "b")).alias("parent")))
+        while True:
+            up = ends.select(F.col("id").alias("parent"), F.col("parent").alias("further"))
+            moved = materialise(ends.join(up, "parent").select(
+                "id", F.col("further").alias("parent"), (F.col("further") < F.col("parent")).alias("moved")))
+            ends = moved.select("id", "parent")
+            if not moved.where("moved").limit(1).count():
+                break
+        if labels is None:
+            labels = ends.withColumnRenamed("parent", "component")
+        else:
+            labels = materialise(labels.join(ends.withColumnRenamed("id", "component"), "component", "left")
+                                 .select("id", F.coalesce("parent", "component").alias("component")))
+        left = ends.withColumnsRenamed({"id": "a", "parent": "x"})
+        right = ends.withColumnsRenamed({"id": "b", "parent": "y"})
+        edges = materialise(_pairs(edges.join(left, "a").join(right, "b"), "x", "y").distinct())
+        if not edges.limit(1).count():
             return labels
 
 
