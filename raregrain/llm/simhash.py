@@ -1,4 +1,4 @@
-"""SimHash fingerprints, and the search for all fingerprints within a Hamming radius.
+"""SimHash fingerprints, and the searches for all fingerprints within a Hamming radius.
 
 A term is a word with the four words before it (a mark stands for each that is missing),
 weighted by how often it occurs: each occurrence adds its hash, as a vector of signs, to
@@ -11,6 +11,13 @@ with that block permuted to the front as its key, holds every match; the rest
 of the bits is compared at once, and a pair counts in its first equal block only. Equal
 fingerprints are one row with a count.
 
+``near_counts``: two texts of one length whose terms have a Jaccard similarity of ``SIMILARITY``
+have a cosine of 2s / (1 + s), and each bit differs with the chance angle / pi; ``NEAR`` lies
+``MARGIN`` standard deviations above the mean, about a fifth of all bits. No block need be
+equal so far apart, and no key table short of nearly all pairs is complete there, so the distinct queries are
+compared with all distinct fingerprints, as blocks inside tasks: the queries wait in files of
+the shared folder, the fingerprints stay where they are, and only counts become rows.
+
 The edited text needs the next document, in descending id: documents are dealt out
 in ranges of ids that end at ids in the table, and the last document of a range is
 copied to the next, so each range is read once, in order, by one task.
@@ -23,6 +30,7 @@ the next document of a single one is itself; an empty table gives no rows; extra
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,26 +41,41 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import bounded_batches, ordered_cuts, partitions, query, table
+from .common import (bounded_batches, ordered_cuts, partitions, query, shared_fs, shared_uri, table,
+                     write_atomically)
+from .splits import pack, unpack
 from .words import mix, owners, small_batches, word_hashes
 
 LANES = 4  # 64-bit words of a fingerprint
 BITS = 64 * LANES
-RADIUS = 7
+RADIUS = 7  # of the block tables
+SIMILARITY = 0.8  # of the terms of near copies
+MARGIN = 3.0
 CONTEXT = 5
 LOWEST = np.iinfo(np.int64).min
 _TERMS = 1 << 15  # terms that vote at once
+_HERE, _THERE = 256, 2048  # fingerprints compared at once
+_FILE = 1 << 16  # queries of a file
 # _SPREAD[b]: the bits of a byte, one in each byte of a 64-bit word, so that eight counters add up at once.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).copy().view(np.uint64).ravel()
 
 
+def near_radius(similarity: float, margin: float = MARGIN) -> int:
+    """The bits that texts of this Jaccard similarity are apart: mean and ``margin`` standard deviations."""
+    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(BITS * p + margin * math.sqrt(BITS * p * (1 - p)))
+
+
+NEAR = near_radius(SIMILARITY)
+
+
 def terms(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     """One term for each word: it and the words before it."""
     nth = np.arange(len(hashes)) - first[owners(first)]
     total = np.zeros(len(hashes), np.uint64)
     for j in range(CONTEXT):
         before = np.full(len(hashes), np.uint64(j + 1))
-        before[j:] = np.where(nth[j:] >= j, hashes[:len(hashes) - j], np.uint64(j + 1))
+        before[j:] = np.where(nth[j:] >= j, hashes[:max(0, len(hashes) - j)], np.uint64(j + 1))
         total += before * np.uint64(0x9E3779B97F4A7C15 * (2 * j + 1) & (2**64 - 1))
     return mix(total)
 
@@ -190,6 +213,69 @@ def within_radius(prints: DataFrame, queries: DataFrame, radius: int = RADIUS) -
             .select("id", "lanes", (F.coalesce("size", F.lit(1)) - 1).alias("n_near")))
 
 
+def counts_within(here: np.ndarray, there: np.ndarray, sizes: np.ndarray, radius: int) -> np.ndarray:
+    """For each row of ``here``, the summed sizes of the rows of ``there`` at most ``radius`` bits apart."""
+    out = np.zeros(len(here), np.int64)
+    front, half = np.ascontiguousarray(there.T), LANES // 2
+    for a in range(0, len(here), _HERE):
+        asked = here[a:a + _HERE]
+        for b in range(0, len(there), _THERE):
+            apart = np.zeros((len(asked), min(_THERE, len(there) - b)), np.uint8)  # half the bits fit a byte
+            for i in range(half):
+                apart += np.bitwise_count(asked[:, i, None] ^ front[i, None, b:b + _THERE])
+            x, y = np.nonzero(apart <= radius)  # the other half can only add to it
+            rest = np.bitwise_count(asked[x, half:] ^ there[b + y, half:]).sum(axis=1)
+            hit = apart[x, y] + rest.astype(np.int64) <= radius
+            np.add.at(out, a + x[hit], sizes[b + y[hit]])
+    return out
+
+
+def near_counts(prints: DataFrame, queries: DataFrame, radius: int = NEAR) -> DataFrame:
+    """(id, lanes, n_near): for each query (id, lanes), the rows of ``prints`` within the radius, itself apart."""
+    spark = prints.sparkSession
+    parts = partitions(spark)
+    folder = shared_uri(spark)
+    fs, root = shared_fs(folder)
+    fs.create_dir(root)
+
+    def lanes_of(b: pa.RecordBatch, column: int) -> np.ndarray:
+        return b.column(column).flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, LANES)
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, path = shared_fs(folder)
+        rows = [lanes_of(b, 0) for b in batches if b.num_rows]
+        every = np.concatenate(rows) if rows else np.zeros((0, LANES), np.uint64)
+        for at in range(0, len(every), _FILE):
+            found = every[at:at + _FILE]
+            name = hashlib.sha256(found.tobytes()).hexdigest()  # a task that runs again lists the names that count
+            write_atomically(here, f"{path}/{name}", [pack(found)])
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [(lanes_of(b, 0), b.column(1).to_numpy(zero_copy_only=False)) for b in batches if b.num_rows]
+        if not rows:
+            return
+        there, sizes = (np.concatenate(x) for x in zip(*rows))
+        here, path = shared_fs(folder)
+        for name in names:
+            with here.open_input_stream(f"{path}/{name}") as f:
+                asked, = unpack(f.read(), 1)
+            n = counts_within(asked, there, sizes, radius)
+            hit = np.flatnonzero(n)
+            if len(hit):
+                flat = asked[hit].ravel().view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.ListArray.from_arrays(pa.array(np.arange(len(hit) + 1) * LANES, pa.int32()), pa.array(flat)),
+                     pa.array(n[hit], pa.int64())], names=["lanes", "size"])
+
+    names = [r[0] for r in queries.select("lanes").distinct().mapInArrow(store, "name string").collect()]
+    every = prints.groupBy("lanes").agg(F.count(F.lit(1)).alias("size")).repartition(parts, "lanes")
+    found = (every.mapInArrow(compare, "lanes array<bigint>, size bigint")
+             .groupBy("lanes").agg(F.sum("size").alias("size")))
+    return (queries.join(found, "lanes", "left")
+            .select("id", "lanes", (F.coalesce("size", F.lit(1)) - 1).alias("n_near")))
+
+
 def as_text(lanes: Column) -> Column:
     """A fingerprint as hexadecimal digits."""
     return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
@@ -197,11 +283,11 @@ def as_text(lanes: Column) -> Column:
 
 @query("op2_simhash")
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and their edited texts; n_near for every document whose id 50 divides."""
+    """Fingerprints of all documents and their edited texts; n_near, the others within NEAR, where 50 divides the id."""
     prints = materialise(fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text")))
     asked = F.coalesce(F.col("doc_id") % 50 == 0, F.lit(False))
     every = prints.select(F.col("doc_id").alias("id"), "lanes")
-    near = (within_radius(every, prints.where(asked).select(F.col("doc_id").alias("id"), "lanes"))
+    near = (near_counts(every, prints.where(asked).select(F.col("doc_id").alias("id"), "lanes"))
             .dropDuplicates(["id", "lanes"]).withColumnsRenamed({"id": "near_id", "lanes": "near_lanes"}))
     searched = (prints.where(asked).join(near, (F.col("doc_id") == F.col("near_id"))
                                          & (F.col("lanes") == F.col("near_lanes"))).drop("near_id", "near_lanes"))

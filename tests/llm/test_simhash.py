@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -73,6 +74,44 @@ def test_within_radius_equals_brute_force(spark):
         sh.within_radius(df, df, 2 * sh.LANES)
 
 
+def test_near_counts_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sh, "_HERE", 7)
+    monkeypatch.setattr(sh, "_THERE", 16)
+    rng = random.Random(4)
+    base = [rng.getrandbits(sh.BITS) for _ in range(12)]
+    prints = [x ^ sum(1 << b for b in rng.sample(range(sh.BITS), rng.randrange(70))) for x in base for _ in range(15)]
+    prints += prints[:30]
+
+    def lanes(x):
+        return [int(v) for v in np.frombuffer(x.to_bytes(sh.BITS // 8, "little"), np.int64)]
+    df = materialise(spark.createDataFrame([(i, lanes(x)) for i, x in enumerate(prints)], "id bigint, lanes array<bigint>"))
+    for radius in (0, 7, 30, sh.NEAR, 200, sh.BITS):
+        got = {r.id: r.n_near for r in sh.near_counts(df, df.where("id % 3 = 0"), radius).collect()}
+        assert got == {i: sum((x ^ y).bit_count() <= radius for y in prints) - 1
+                       for i, x in enumerate(prints) if i % 3 == 0}
+
+
+def test_edited_texts_of_shingle_similarity_0_8_are_near(spark, tmp_path):
+    rng = random.Random(6)
+    rows = []
+    for k in range(60):  # every id is a multiple of 50: asked for
+        ws = prose(rng, 250, 5000).split()
+        rows.append((100 * k, " ".join(ws)))
+        for at in rng.sample(range(5, 245), 1 + k % 5):
+            ws[at] = "other"
+        rows.append((100 * k + 50, " ".join(ws)))
+
+    def bag(text):
+        ws = ["^"] * 4 + text.split()
+        return Counter(tuple(ws[i:i + 5]) for i in range(len(ws) - 4))
+    bags = [(d, bag(t)) for d, t in rows]
+    alike = {d: sum(sum((a & b).values()) >= 0.8 * sum((a | b).values()) for e, b in bags if e != d) for d, a in bags}
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.n_near for r in sh.op2_simhash(spark, str(tmp_path)).collect()}
+    assert 90 <= sum(alike.values()) and all(n <= 1 for n in got.values())
+    assert sum(min(got[d], n) for d, n in alike.items()) >= 0.97 * sum(alike.values())
+
+
 def test_awkward_rows(spark):
     rows = awkward_rows()
     out = sh.fingerprint_documents(documents(spark, rows, clashes=True)).collect()
