@@ -84,21 +84,28 @@ def write_atomically(fs: pafs.FileSystem, path: str, chunks) -> None:
 
 
 def from_files(docs: DataFrame) -> DataFrame:
-    """``docs`` itself if each row still knows its input split, else a stored copy that does.
+    """``docs`` itself if each row still knows its place in a file, else a stored copy that does.
 
-    Operators that visit the rows twice name a row's place by its file and block;
-    only a bare file scan has them.
+    Operators that visit the rows twice name a row's place by its file and row number;
+    only a bare scan of Parquet files has them.
     """
     try:
-        docs.select("_metadata.file_block_start")
+        docs.select("_metadata.row_index")
     except Exception:  # the analyser knows no such column: not a plain scan
         return materialise(docs)
     return docs
 
 
+SPLIT_ROWS = 1 << 13  # rows of a file that share a key
+
+
 def split_key() -> "F.Column":
-    """The input split of a row: the same for every visit in one session."""
-    return F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+    """The stretch of its file that a row is in: the same for every visit.
+
+    Spark's own splits are not: their size follows the cores that are there when a scan starts.
+    So the rows of one key may be in several tasks.
+    """
+    return F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / SPLIT_ROWS))
 
 
 def ordered_cuts(df: DataFrame, column: str, parts: int) -> list:

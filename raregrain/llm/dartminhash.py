@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
 from .common import bounded_batches, from_files, partitions, query, split_key, table
-from .splits import MESSAGE, by_split, exchange, load, message, pack, runs, unpack
+from .splits import MESSAGE, by_split, exchange, load, message, pack, runs, seen, unpack
 from .words import mix, shingles, small_batches, word_hashes
 
 WIDTH = 5
@@ -132,8 +132,11 @@ def _fingerprints(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return docs.select("split", "id", "text").mapInArrow(scan, kind)
 
 
-def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, body) of the wanted (split, id): sorted distinct shingles and their counts, read from the texts in place."""
+def _shingle_sets(docs: DataFrame, wanted: DataFrame, prints: DataFrame) -> DataFrame:
+    """(id, body) of the wanted (split, id): sorted distinct shingles and their counts, read from the texts in place.
+
+    ``prints`` has the splits of all rows.
+    """
     spark = docs.sparkSession
     listed = T.StructType([T.StructField("split", T.LongType()), T.StructField("id", T.LongType())])
 
@@ -142,8 +145,14 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield message(0, split, pack(np.concatenate(
                 [b.column(0).to_numpy(zero_copy_only=False).astype(np.int64) for b in rows])))
 
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for split in b.column(0).to_pylist():
+                yield seen(split)
+
     ids = wanted.select("split", "id").to(listed).repartition(partitions(spark), "split")
-    folder = exchange(ids.sortWithinPartitions("split").mapInArrow(gather, MESSAGE),
+    every = prints.select("split").distinct().mapInArrow(met, MESSAGE)
+    folder = exchange(ids.sortWithinPartitions("split").mapInArrow(gather, MESSAGE).union(every),
                       lambda part, rows: iter(rows), lambda bodies: pack(np.concatenate(
                           [unpack(x, 1)[0] for x in bodies])))
     kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("body", T.BinaryType())])
@@ -333,7 +342,7 @@ def near_duplicate_classes(docs: DataFrame, text: str = "text", id_col: str = "d
         F.min("rep").alias("least"), F.min_by("rep", F.xxhash64("rep", "band")).alias("drawn"),
         F.count(F.lit(1)).alias("size")).where("size > 1"))
     shared = materialise(places.join(first, ["band", "h"]).select("band", "h", "rep", "split", "least", "drawn", "size"))
-    sets = materialise(_shingle_sets(tagged, shared.select("split", F.col("rep").alias("id")).distinct()))
+    sets = materialise(_shingle_sets(tagged, shared.select("split", F.col("rep").alias("id")).distinct(), prints))
     met = _pairs(shared, "rep", "least").union(_pairs(shared, "rep", "drawn")).distinct()
     links = materialise(_verified(met, sets, similarity))
     comp = components(links)

@@ -1,4 +1,6 @@
-"""Second visits: what was found out about the rows of an input split waits for the next scan of that split.
+"""Second visits: what was found out about the rows of a split waits for the next scan of that split.
+
+A split is a stretch of rows of one file (``common.split_key``); a task may have a part of one, or several.
 
 The rows themselves are never shuffled. A first scan sends small arrays, by hash
 range, to the tasks that compare them; these answer each split with what its
@@ -46,8 +48,14 @@ def message(part: int, split: int, body: bytes) -> pa.RecordBatch:
         [pa.array([part], pa.int32()), pa.array([split], pa.int64()), pa.array([body], pa.binary())], schema=_ARROW)
 
 
+def seen(split: int) -> pa.RecordBatch:
+    """Says that a scan met the split, whether it has more to send or not."""
+    return message(0, split, b"")
+
+
 def by_part(split: int, hashes: np.ndarray, parts: int, *more: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One message for each hash range, of sorted hashes and what belongs to them."""
+    yield seen(split)
     bounds = np.searchsorted(part_of(hashes, parts), np.arange(parts + 1))
     for p in range(parts):
         a, b = bounds[p], bounds[p + 1]
@@ -100,7 +108,10 @@ def by_split(batches: Iterator[pa.RecordBatch], split: int) -> Iterator[tuple[in
 
 def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]], Iterator[tuple[int, bytes]]],
              join: Callable[[list[bytes]], bytes]) -> str:
-    """Send messages to their hash range, answer each split, and store each split's joined answers; the folder's URI."""
+    """Send messages to their hash range, answer each split, and store each split's joined answers; the folder's URI.
+
+    A split may send several messages to a range, from several tasks. One that is only ``seen`` gets an empty file.
+    """
     spark = messages.sparkSession
     parts = partitions(spark)
     folder = shared_uri(spark)
@@ -109,13 +120,17 @@ def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]
 
     def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, rows in runs(batches, 0):
-            for split, body in answer(part, [(r[1], r[2]) for r in rows]):
+            for split in {r[1] for r in rows if not r[2]}:
+                yield seen(split)
+            sent = [(r[1], r[2]) for r in rows if r[2]]
+            for split, body in answer(part, sent) if sent else ():
                 yield message(part, split, body)
 
     def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, path = shared_fs(folder)
         for split, rows in runs(batches, 1):
-            write_atomically(here, f"{path}/{split}", [join([r[2] for r in rows])])
+            bodies = [r[2] for r in rows if r[2]]
+            write_atomically(here, f"{path}/{split}", [join(bodies)] if bodies else [])
             yield message(0, split, b"")
 
     back = (messages.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(answered, MESSAGE))
@@ -124,10 +139,12 @@ def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]
 
 
 def load(folder: str, split: int, n: int) -> list[np.ndarray] | None:
-    """The arrays stored for a split, or None where there are none."""
+    """The arrays stored for a split, or None where nothing was found in it; an error if no scan met it before."""
     fs, root = shared_fs(folder)
     info = fs.get_file_info(f"{root}/{split}")
     if info.type == pafs.FileType.NotFound:
+        raise RuntimeError(f"split {split} was not there in the scan before: its file has changed")
+    if not info.size:
         return None
     with fs.open_input_stream(info.path) as f:
         return unpack(f.read(), n)

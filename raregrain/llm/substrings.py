@@ -12,7 +12,7 @@ document goes back to each split, and the third scan removes the words.
 
 Anchors are compared by 32 bits and their hash range (a chance hit costs a
 window hashed for nothing); whole windows by 64 bits. Texts are never shuffled, and a
-passage that many documents share is one entry for each input split.
+passage that many documents share is one entry for each split in a task.
 
 Defined cases: a null text has no words; a null id counts as larger than any
 other; repeated rows (equal ids) never remove words of each other; texts shorter
@@ -31,13 +31,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, fresh, from_files, partitions, query, split_key, table
-from .splits import MESSAGE, by_part, by_split, exchange, load, pack, unpack
+from .splits import MESSAGE, by_part, by_split, exchange, load, pack, seen, unpack
 from .words import hash_spans, owners, small_batches, utf8, windows, word_hashes, word_spans
 
 WINDOW = 13
 PERIOD, COVER = 7, (0, 1, 3)
 LAST = np.iinfo(np.int64).max
-FIRST = np.iinfo(np.int64).min
 OUTPUTS = ("kept_text", "n_words", "n_removed")
 
 
@@ -70,6 +69,7 @@ def _repeated_anchors(docs: DataFrame, width: int, period: int, cover: tuple[int
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for split, rows in by_split(batches, 0):
+            yield seen(split)
             found = []
             for b in small_batches(rows, 1):
                 hashes, first = word_hashes(b.column(1))
@@ -96,7 +96,7 @@ def _repeated_anchors(docs: DataFrame, width: int, period: int, cover: tuple[int
                 yield split, pack(hit.astype(np.uint64) | np.uint64(part) << np.uint64(32))
 
     return exchange(docs.select("split", "id", "text").mapInArrow(scan, MESSAGE), answer,
-                    lambda bodies: pack(np.concatenate([unpack(b, 1)[0] for b in bodies])))
+                    lambda bodies: pack(np.unique(np.concatenate([unpack(b, 1)[0] for b in bodies]))))
 
 
 def _earlier_windows(docs: DataFrame, anchors: str, width: int, period: int, cover: tuple[int, ...]) -> str:
@@ -108,6 +108,7 @@ def _earlier_windows(docs: DataFrame, anchors: str, width: int, period: int, cov
         for split, rows in by_split(batches, 0):
             known = load(anchors, split, 1)
             if known is None:
+                yield seen(split)
                 continue
             known, found = known[0], []
             for b in small_batches(rows, 1):
@@ -127,6 +128,7 @@ def _earlier_windows(docs: DataFrame, anchors: str, width: int, period: int, cov
                     found.append(np.stack([windows(hashes, width)[start],
                                            _ids(b.column(0))[own[start]].view(np.uint64)]))
             if not found:
+                yield seen(split)
                 continue
             value, ids = np.concatenate(found, axis=1)
             ids = ids.view(np.int64)
@@ -147,11 +149,12 @@ def _earlier_windows(docs: DataFrame, anchors: str, width: int, period: int, cov
             least = ids[np.searchsorted(value, v)]
             removed = (least < own) | several
             if removed.any():
-                yield split, pack(v[removed], np.where(least < own, FIRST, own)[removed])
+                yield split, pack(v[removed], least[removed])
 
     def join(bodies: list[bytes]) -> bytes:
         read = [unpack(b, 2) for b in bodies]
-        return pack(np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read]))
+        value, at = np.unique(np.concatenate([r[0] for r in read]), return_index=True)
+        return pack(value, np.concatenate([r[1] for r in read])[at])
 
     return exchange(docs.select("split", "id", "text").mapInArrow(scan, MESSAGE), answer, join)
 

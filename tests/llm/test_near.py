@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from raregrain.functions.scratch import materialise
+from raregrain.llm import common
 from raregrain.llm import dartminhash as dm
 from raregrain.llm.words import shingles, word_hashes
 
@@ -137,3 +138,21 @@ def test_components_of_a_long_path_and_a_star(spark):
     star = spark.range(1001, 1400).select(F.lit(1000).cast("long").alias("a"), F.col("id").alias("b"))
     got = {r.id: r.component for r in dm.components(path.union(star)).collect()}
     assert got == {**dict.fromkeys(range(n + 1), 0), **dict.fromkeys(range(1000, 1400), 1000)}
+
+
+def test_splits_cut_anew_between_the_scans(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "SPLIT_ROWS", 150)
+    rows = family(12, 150)
+    path = f"{tmp_path}/rows.parquet"
+    documents(spark, rows).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
+    scan = dm.exchange
+
+    def moved(*args):
+        folder = scan(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20k")
+        return folder
+    monkeypatch.setattr(dm, "exchange", moved)
+    try:
+        assert classes(spark.read.parquet(path)) == brute(rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -3,6 +3,7 @@ import random
 import pytest
 
 from raregrain.functions.scratch import materialise
+from raregrain.llm import common, splits, substrings
 from raregrain.llm.substrings import COVER, PERIOD, WINDOW, dedup_substrings
 
 from .fixtures import CLASHES, awkward_rows, documents, prose, words
@@ -77,3 +78,30 @@ def test_empty_table_and_bad_cover(spark):
     assert {(a - b) % PERIOD for a in COVER for b in COVER} == set(range(PERIOD))
     with pytest.raises(ValueError):
         dedup_substrings(documents(spark, []), cover=(0, 1))
+
+
+def test_splits_cut_anew_between_the_scans(spark, tmp_path, monkeypatch):
+    """Spark sizes its input splits by the cores that are there, so each scan may cut a file elsewhere."""
+    monkeypatch.setattr(common, "SPLIT_ROWS", 150)  # keys that span tasks
+    rows = passages(5, 2000)
+    path = f"{tmp_path}/rows.parquet"
+    documents(spark, rows).coalesce(1).write.option("parquet.block.size", 4096).parquet(path)
+    scan = splits.exchange
+    widths = iter(["20k", "7k"])
+
+    def moved(*args):
+        folder = scan(*args)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(widths))
+        return folder
+    monkeypatch.setattr(substrings, "exchange", moved)
+    try:
+        check(spark.read.parquet(path), rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_split_that_no_scan_met_is_an_error(spark):
+    folder = splits.exchange(spark.createDataFrame([(0, 5, b"")], splits.MESSAGE), lambda part, rows: iter(rows), b"".join)
+    assert splits.load(folder, 5, 1) is None
+    with pytest.raises(RuntimeError):
+        splits.load(folder, 6, 1)
