@@ -3,8 +3,8 @@
 A candidate block is compressed alone and with each template as a raw zstandard
 dictionary; the template that saves the most describes the block best. The best few are then confirmed by
 their wording: the words of the template that the block lacks, and the words it adds,
-from an exact comparison in order. A confirmed template's lines leave the
-block and the rest is scanned again, so a block may hold several notices.
+from an exact comparison in order. The words from the first to the last of a confirmed template leave the
+block and the rest, also of the same lines, is scanned again, so a block or a line may hold several notices.
 
 A candidate block is a run of lines with a hint word, or lines between and beside
 them of which most words belong to the templates' wording. Documents without a
@@ -89,7 +89,7 @@ _WORD = re.compile(r"\w+(?:\.\w+)*")
 
 
 def words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 class Scanner:
@@ -107,8 +107,8 @@ class Scanner:
         self.wording = {w for _, _, ws, _ in self.templates for w in ws}
         self.longest = max((len(ws) for _, _, ws, _ in self.templates), default=0)
 
-    def blocks(self, text: str) -> Iterator[list[tuple[int, str]]]:
-        """Candidate blocks as (line number, line)."""
+    def blocks(self, text: str) -> Iterator[list[tuple[int, int, str]]]:
+        """Candidate blocks as (line number, place in the line, the line from there)."""
         run: list[tuple[int, str, bool]] = []
         for n, line in enumerate(text.split("\n")):
             ws = words(line)
@@ -120,11 +120,11 @@ class Scanner:
             run = []
         yield from self._windows(run)
 
-    def _windows(self, run: list[tuple[int, str, bool]]) -> Iterator[list[tuple[int, str]]]:
+    def _windows(self, run: list[tuple[int, str, bool]]) -> Iterator[list[tuple[int, int, str]]]:
         if not any(hint for _, _, hint in run):
             return
-        lines = [(n, line) for n, line, _ in run]
-        sizes = [len(words(line)) for _, line in lines]
+        lines = [(n, 0, line) for n, line, _ in run]
+        sizes = [len(words(line)) for _, _, line in lines]
         start = 0
         while True:
             end, held = start, 0
@@ -147,14 +147,15 @@ class Scanner:
         saved = [(1.0 - len(t[3].compress(raw)) / alone, i) for i, t in enumerate(self.templates)]
         return sorted(saved, key=lambda s: (-s[0], s[1]))
 
-    def confirm(self, block: list[tuple[int, str]]) -> tuple | None:
-        """(template, saving, lacking, added, first line, last line) of the best confirmed template."""
+    def confirm(self, block: list[tuple[int, int, str]]) -> tuple | None:
+        """(template, saving, lacking, added, first word, last word) of the best confirmed template; places in the block."""
         best = None
-        owner = [(n, w) for n, line in block for w in words(line)]
-        for saving, i in self.rank("\n".join(line for _, line in block))[:RANKED]:
+        owner = [(k, m.start(), m.end(), m.group().lower()) for k, (_, _, line) in enumerate(block)
+                 for m in _WORD.finditer(line)]
+        here = [w for *_, w in owner]
+        for saving, i in self.rank("\n".join(line for _, _, line in block))[:RANKED]:
             want = self.templates[i][2]
-            same = [m for m in difflib.SequenceMatcher(None, [w for _, w in owner], want, False)
-                    .get_matching_blocks() if m.size]
+            same = [m for m in difflib.SequenceMatcher(None, here, want, False).get_matching_blocks() if m.size]
             held = {k for m in same for k in range(m.b, m.b + m.size)}
             missing = [w for k, w in enumerate(want) if k not in held]
             lacking = len(missing)
@@ -164,33 +165,37 @@ class Scanner:
             added = last - first - (len(want) - lacking)
             if added > LACKING * len(want):
                 continue
-            found = ((len(want) - 2 * lacking - added), saving, -i, lacking, added, owner[first][0],
-                     owner[last - 1][0])
+            found = ((len(want) - 2 * lacking - added), saving, -i, lacking, added, owner[first], owner[last - 1])
             if best is None or found[:3] > best[:3]:
                 best = found
         return best and (-best[2], best[1], best[3], best[4], best[5], best[6])
 
     def scan(self, text: str) -> list[tuple]:
         """(line, lines, licence, template, saving, lacking, added) of each finding; licence None: not confirmed."""
-        out, seen = [], set()
+        found_at, unknown = {}, {}
         for block in self.blocks(text):
             todo = [block]
             while todo:
                 part = todo.pop()
-                if not any(_HINT.search(line) for _, line in part):
+                hints = [(n, at + m.start()) for n, at, line in part for m in _HINT.finditer(line)]
+                if not hints:
                     continue
                 found = self.confirm(part)
                 if found is None:
-                    saving, i = self.rank("\n".join(line for _, line in part))[0]
+                    saving, i = self.rank("\n".join(line for _, _, line in part))[0]
                     row = (part[0][0], part[-1][0] - part[0][0] + 1, None, None, round(saving, 6), None, None)
-                else:
-                    i, saving, lacking, added, first, last = found
-                    row = (first, last - first + 1, self.templates[i][0], self.templates[i][1], round(saving, 6),
-                           lacking, added)
-                    todo += [x for x in ([p for p in part if p[0] < first], [p for p in part if p[0] > last]) if x]
-                if row[:4] not in seen:  # windows overlap
-                    seen.add(row[:4])
-                    out.append(row)
+                    unknown.setdefault(row[:2], []).append((row, hints))
+                    continue
+                i, saving, lacking, added, (k, start, _, _), (e, _, end, _) = found
+                (first, at, line), (last, to, rest) = part[k], part[e]
+                row = (first, last - first + 1, self.templates[i][0], self.templates[i][1], round(saving, 6),
+                       lacking, added)
+                found_at.setdefault((first, at + start, last, to + end, i), row)  # windows overlap
+                todo += [part[:k] + [(first, at, line[:start])], [(last, to + end, rest[end:])] + part[e + 1:]]
+        spans = [((a, b), (c, d)) for a, b, c, d, _ in found_at]
+        out = list(found_at.values())
+        for rows in unknown.values():  # a hint that another window confirms is no unknown notice
+            out += [row for row, hints in rows if not all(any(a <= h < z for a, z in spans) for h in hints)][:1]
         return sorted(out, key=lambda r: (r[0], r[1], r[2] or ""))
 
 

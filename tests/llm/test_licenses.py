@@ -34,6 +34,23 @@ def test_several_notices_in_a_block():
     assert [(r[0], r[2]) for r in SCANNER.scan(text)] == [(0, "apache-2.0"), (1, "all-rights-reserved"), (2, "mit")]
 
 
+def test_several_notices_in_a_line():
+    text = "Released under the MIT License. Licensed under CC BY-NC 4.0."
+    assert [(r[0], r[1], r[2]) for r in SCANNER.scan(text)] == [(0, 1, "cc-by-nc-4.0"), (0, 1, "mit")]
+    text = ("so\nfoo All rights reserved. Released under the MIT License. Foo bar; Licensed under\n"
+            "CC BY 4.0. Released under the MIT License, see the warranty.")
+    assert [(r[0], r[1], r[2]) for r in SCANNER.scan(text)] == [
+        (1, 1, "all-rights-reserved"), (1, 1, "mit"), (1, 2, "cc-by-4.0"), (2, 1, None), (2, 1, "mit")]
+    twice = SCANNER.scan("Released under the MIT License. Released under the MIT License.")
+    assert [(r[0], r[2]) for r in twice] == [(0, "mit")] * 2
+
+
+def test_every_pair_of_notices_in_a_line_is_found():
+    for (a, i, x), (b, j, y) in zip(EVERY, EVERY[7:] + EVERY[:7]):
+        got = [(r[2], r[3]) for r in SCANNER.scan(f"{x} {y}") if r[2]]
+        assert sorted(got) == sorted([(a, i), (b, j)])
+
+
 def test_small_edits_are_counted_and_other_versions_are_not_confirmed():
     edited = lc.TEMPLATES["mit"][2].replace("free of charge", "without any charge").upper()
     row = SCANNER.scan(edited)[0]
