@@ -1,15 +1,15 @@
 """Licence scans by conditional compression.
 
 A candidate block is compressed alone and with each template as a raw zstandard
-dictionary; the template that saves the most describes the block best. The best few are then confirmed by
-their wording: the words of the template that the block lacks, and the words it adds,
+dictionary; the template that saves the most describes the block best. All templates, best first, are then
+confirmed by their wording: the words of the template that the block lacks, and the words it adds,
 from an exact comparison in order. The words from the first to the last of a confirmed template leave the
 block and the rest, also of the same lines, is scanned again, so a block or a line may hold several notices.
 
 A candidate block is a run of lines with a hint word, or lines between and beside
 them of which most words belong to the templates' wording. Documents without a
 hint word are left out by the scan itself. Blocks much longer than any template are
-read in overlapping windows, whole.
+read in overlapping windows of words, whole, also inside a line.
 
 Defined cases: a null or empty text has no block; a block without a confirmed template is
 a row with a null licence; ties go to the larger saving, then to the alphabetically
@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from .common import bounded_batches, query, table
 
-RANKED = 4  # templates whose wording is compared, best saving first
+RANKED = 4  # among so many, best saving first, the right one is expected in a short block; the others are compared too
 LACKING = 0.2  # largest share of a template's words that a confirmed block may lack
 FOREIGN = 0.25  # largest share of words that a line beside a hint may have outside all templates
 # Hint words, and the public wording of common notices by licence.
@@ -123,7 +123,7 @@ class Scanner:
     def _windows(self, run: list[tuple[int, str, bool]]) -> Iterator[list[tuple[int, int, str]]]:
         if not any(hint for _, _, hint in run):
             return
-        lines = [(n, 0, line) for n, line, _ in run]
+        lines = [piece for n, line, _ in run for piece in self._pieces(n, line)]
         sizes = [len(words(line)) for _, _, line in lines]
         start = 0
         while True:
@@ -131,7 +131,7 @@ class Scanner:
             while end < len(lines) and (end == start or held + sizes[end] <= 4 * self.longest):
                 held += sizes[end]
                 end += 1
-            yield lines[start:end]
+            yield _joined(lines[start:end])
             if end == len(lines):
                 return
             back, kept = end, 0
@@ -140,6 +140,12 @@ class Scanner:
                 kept += sizes[back]
             start = back
 
+    def _pieces(self, n: int, line: str) -> Iterator[tuple[int, int, str]]:
+        """A line, cut before every so many words: windows overlap by more than a template with its additions."""
+        ends = [m.start() for m in _WORD.finditer(line)][max(1, self.longest // 2)::max(1, self.longest // 2)]
+        for a, e in zip([0, *ends], [*ends, len(line)]):
+            yield n, a, line[a:e]
+
     def rank(self, block: str) -> list[tuple[float, int]]:
         """(share of the compressed size that a template saves, template), the largest first."""
         raw = block.encode()
@@ -153,8 +159,11 @@ class Scanner:
         owner = [(k, m.start(), m.end(), m.group().lower()) for k, (_, _, line) in enumerate(block)
                  for m in _WORD.finditer(line)]
         here = [w for *_, w in owner]
-        for saving, i in self.rank("\n".join(line for _, _, line in block))[:RANKED]:
+        known = set(here)
+        for saving, i in self.rank("\n".join(line for _, _, line in block)):
             want = self.templates[i][2]
+            if sum(w not in known for w in want) > LACKING * len(want):
+                continue
             same = [m for m in difflib.SequenceMatcher(None, here, want, False).get_matching_blocks() if m.size]
             held = {k for m in same for k in range(m.b, m.b + m.size)}
             missing = [w for k, w in enumerate(want) if k not in held]
@@ -190,15 +199,30 @@ class Scanner:
                 (first, at, line), (last, to, rest) = part[k], part[e]
                 row = (first, last - first + 1, self.templates[i][0], self.templates[i][1], round(saving, 6),
                        lacking, added)
-                found_at.setdefault((first, at + start, last, to + end, i), row)  # windows overlap
+                score = len(self.templates[i][2]) - 2 * lacking - added
+                found_at[(first, at + start), (last, to + end), i] = (-score, row)
                 todo += [part[:k] + [(first, at, line[:start])], [(last, to + end, rest[end:])] + part[e + 1:]]
-        spans = [((a, b), (c, d)) for a, b, c, d, _ in found_at]
-        out = list(found_at.values())
+        spans, out = [], []
+        for (a, z, i), (_, row) in sorted(found_at.items(), key=lambda f: (f[1][0], f[0])):
+            if all(z <= b or e <= a for b, e in spans):  # windows overlap, and one may hold a part of a notice
+                spans.append((a, z))
+                out.append(row)
         for rows in unknown.values():  # a hint that another window confirms is no unknown notice
             out += [row for row, hints in rows if not all(any(a <= h < z for a, z in spans) for h in hints)][:1]
         return sorted(out, key=lambda r: (r[0], r[1], r[2] or ""))
 
 
+def _joined(pieces: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """The pieces of each line as one."""
+    out = pieces[:1]
+    for n, at, line in pieces[1:]:
+        if n == out[-1][0]:
+            out[-1] = (n, out[-1][1], out[-1][2] + line)
+        else:
+            out.append((n, at, line))
+    return out
+
+
 def _packer(raw: zstandard.ZstdCompressionDict | None) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=6, dict_data=raw, write_content_size=False, write_dict_id=False)
 

@@ -74,6 +74,23 @@ def test_long_blocks_are_read_whole():
     assert any(r[0] == 333 and r[2] == "mit" for r in SCANNER.scan("\n".join(lines)))
 
 
+def test_notice_inside_a_long_line_of_prose_is_found():
+    rng = random.Random(3)
+    for n in (10, 500, 3000):
+        for name, i, wording in EVERY:
+            at = rng.randrange(n)
+            got = SCANNER.scan(f"{prose(rng, at, 5000)} {wording} {prose(rng, n - at, 5000)}")
+            assert [(r[0], r[1], r[2], r[3], r[5], r[6]) for r in got] == [(0, 1, name, i, 0, 0)]
+    text = " ".join(f"{prose(rng, rng.randrange(300))} {wording}" for _, _, wording in EVERY)
+    assert sorted((r[2], r[3]) for r in SCANNER.scan(text)) == sorted((name, i) for name, i, _ in EVERY)
+
+
+def test_all_templates_are_compared_where_the_ranking_fails(monkeypatch):
+    monkeypatch.setattr(lc.Scanner, "rank", lambda self, block, rank=lc.Scanner.rank: rank(self, block)[::-1])
+    for name, i, wording in EVERY:
+        assert [(r[2], r[3]) for r in SCANNER.scan(wording)] == [(name, i)]
+
+
 def test_documents(spark):
     rng = random.Random(1)
     rows = [(i, prose(rng, 80)) for i in range(100, 130)] + awkward_rows()
