@@ -17,6 +17,7 @@ ORACLES: dict[str, str] = {}
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "benchmark": "item_id bigint, text string",
 }
 
 
@@ -34,6 +35,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc32_sql(text: str, tab: str) -> str:
+    """The unsigned CRC-32 of a string's UTF-8 bytes as a SQL expression; ``tab`` is the list ``crc32_sql.table``."""
+    data = (f"list_transform(range(0, octet_length(encode({text}))), "
+            f"lambda i: ('0x' || substr(hex(encode({text})), 2 * i + 1, 2))::BIGINT)")
+    return (f"xor(list_reduce([4294967295::BIGINT] || {data}, "
+            f"lambda c, b: xor(c >> 8, {tab}[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+crc32_sql.table = ("list_transform(range(256), lambda i: list_reduce([i::BIGINT] || repeat([0::BIGINT], 8), "
+                   "lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END))")
+
+
 def fresh(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, so that extra input columns never clash."""
     name, taken = f"__{stem}", {c.lower() for c in df.columns}

@@ -2,7 +2,8 @@
 
 import corpus_pipeline
 
-from . import bpe, chat, dartminhash, exact, langid, licenses, packing, simhash, substrings, tokenfiles  # noqa: F401
+from . import (bpe, chat, dartminhash, exact, importance, langid, licenses, packing, simhash,  # noqa: F401
+               substrings, tokenfiles)
 from .common import ORACLES, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run
