@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import (bpe, chat, dartminhash, exact, importance, langid, licenses, packing, simhash,  # noqa: F401
+from . import (bpe, chat, dartminhash, decontaminate, exact, importance, langid, licenses, packing, simhash,  # noqa: F401
                substrings, tokenfiles)
 from .common import ORACLES, QUERIES
 
