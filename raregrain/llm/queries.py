@@ -3,7 +3,7 @@
 import corpus_pipeline
 
 from . import (bpe, chat, dartminhash, decontaminate, exact, importance, langid, licenses, packing, simhash,  # noqa: F401
-               substrings, tokenfiles)
+               spelling, substrings, tokenfiles)
 from .common import ORACLES, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run
