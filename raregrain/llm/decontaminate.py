@@ -31,6 +31,7 @@ from .exact import normalised
 WIDTH = 10  # words of a window
 SHINGLE = 3  # words of a shingle; a window of fewer words is its own shingle
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # what stands between words, after lower-casing A-Z
+RAW_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before lower-casing
 
 
 def words_of(text: Column) -> Column:
@@ -42,10 +43,17 @@ def _starts(n: Column, width: Column | int) -> Column:
     return F.when(n >= width, F.sequence(F.lit(0), n - width)).otherwise(F.array().cast("array<int>"))
 
 
-def _shingles(words: Column, width: Column | int) -> Column:
-    """The hash of every run of ``width`` words, by its start."""
-    width = F.lit(width) if isinstance(width, int) else width
-    return F.transform(_starts(F.size(words), width), lambda i: F.xxhash64(F.slice(words, i + 1, width)))
+def _shingles(rows: DataFrame, words: str, width: int) -> DataFrame:
+    """The other columns with the place ``pos`` and the hash ``h`` of every run of ``width`` words.
+
+    The runs are zipped from shifted slices, so that the hash is compiled code over exploded rows.
+    """
+    shifted = [F.slice(words, k + 1, F.size(words)).alias(f"w{k}") for k in range(width)]
+    rest = [c for c in rows.columns if c != words]
+    return (rows.where(F.size(words) >= width)
+            .select(*rest, (F.size(words) - width).alias("last"), F.posexplode(F.arrays_zip(*shifted)).alias("pos", "z"))
+            .where(F.col("pos") <= F.col("last"))
+            .select(*rest, "pos", F.xxhash64(*[F.col(f"z.w{k}") for k in range(width)]).alias("h")))
 
 
 def item_windows(items: DataFrame, text: str, item_id: str, width: int) -> tuple[DataFrame, DataFrame]:
@@ -69,17 +77,15 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     """
     docs = from_files(docs)
     windows, members = item_windows(items, item_text, item_id, width)
-    shingle = F.least(F.size("win"), F.lit(SHINGLE))
-    of_window = materialise(windows.select("wid", F.size("win").alias("n_win"), shingle.alias("w"),
-                                           F.posexplode(_shingles(F.col("win"), shingle)).alias("offset", "h")))
+    sized = windows.withColumn("n_win", F.size("win")).withColumn("w", F.least("n_win", F.lit(SHINGLE)))
+    of_window = materialise(reduce(DataFrame.unionByName, [
+        _shingles(sized.where(F.col("w") == w), "win", w) for w in range(1, SHINGLE + 1)]).withColumnRenamed("pos", "offset"))
     known = materialise(of_window.select("h").distinct())
     key = [F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
     parsed = docs.select(*key, words_of(F.col(text)).alias("words"))
     widths = [r["w"] for r in of_window.select("w").distinct().collect()] or [SHINGLE]  # SHINGLE numbers at most
-    found = reduce(DataFrame.unionByName, [
-        parsed.select("file", "row", F.size("words").alias("n_words"),
-                      F.posexplode(_shingles(F.col("words"), w)).alias("pos", "h")).join(known, "h")
-        for w in sorted(widths)])
+    numbered = parsed.withColumn("n_words", F.size("words"))
+    found = reduce(DataFrame.unionByName, [_shingles(numbered, "words", w).join(known, "h") for w in sorted(widths)])
     found = materialise(found)  # occurrences of the benchmark's shingles
 
     # Order the shingles of a window by rarity over all documents; the first is its necessary prefix.
@@ -113,7 +119,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", item_id
     f, r = fresh(docs, "file"), fresh(docs, "row")
     count = fresh(docs, "n_words")
     rows = docs.select(*[F.col(f"`{c}`") for c in own], key[0].alias(f), key[1].alias(r),
-                       F.size(words_of(F.col(text))).cast("long").alias(count))
+                       F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), RAW_BREAK), "")).cast("long").alias(count))
     some = hits.select(F.col("file").alias(f), F.col("row").alias(r), *[F.col(c).alias(fresh(docs, c)) for c in new[1:]])
     spans, listed = fresh(docs, "spans"), fresh(docs, "items")
     return rows.join(some, [f, r], "left").select(
