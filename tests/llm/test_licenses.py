@@ -1,3 +1,4 @@
+import difflib
 import random
 import textwrap
 
@@ -22,13 +23,23 @@ def plain(block):
 @pytest.mark.parametrize("name,i,wording", EVERY)
 @pytest.mark.parametrize("width", [10_000, 60, 30])
 def test_every_wording_is_found_and_named(name, i, wording, width):
-    lines = textwrap.wrap(wording, width, break_on_hyphens=False)
+    lines = textwrap.wrap(wording, width, break_on_hyphens=False, break_long_words=False)
     text = "\n".join(["Foo bar baz.", "Qux quux.", *lines, "nothing of the kind here"])
     got = SCANNER.scan(text)
     assert [(r[2], r[3]) for r in got if r[2]] == [(name, i)] == [plain(text)]
     assert all(r[5] == r[6] == 0 for r in got if r[2])
 
 
+def test_a_word_broken_over_two_lines_counts_as_lacking_and_added():
+    name, i, wording = next(e for e in EVERY if "licenses/LICENSE-2.0" in e[2])
+    broken = wording.replace("licenses/LICENSE-2.0", "licen\nses/LICENSE-2.0")
+    whole, cut = (lc.words(t) for t in (wording, broken))
+    same = sum(b.size for b in difflib.SequenceMatcher(None, whole, cut, False).get_matching_blocks())
+    got = [r for r in SCANNER.scan(f"Foo bar.\n{broken}\nnothing") if r[2]]
+    assert [(r[2], r[3], r[5], r[6]) for r in got] == [(name, i, len(whole) - same, len(cut) - same)]
+    assert (len(whole) - same, len(cut) - same) != (0, 0)
+
+
 def test_several_notices_in_a_block():
     text = "Licensed under the Apache License, Version 2.0.\nAll rights reserved.\nReleased under the MIT License."
     assert [(r[0], r[2]) for r in SCANNER.scan(text)] == [(0, "apache-2.0"), (1, "all-rights-reserved"), (2, "mit")]
