@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions.scratch import materialise
 from . import metrics as M
+from .bootstrap import bootstrap_intervals
 from .features import Encoder, FoldFeatures
 from .sampling import balanced_weights, imbalance_ratio, stratified_folds
 
@@ -317,22 +318,25 @@ RESULT_SCHEMA = ("model string, threshold double, precision double, recall doubl
 
 
 def evaluate(name: str, classifier, parts, train: DataFrame, test: DataFrame, folds: list[int], *, beta: float = 1.0,
-             n_boot: int = 1000, exact_bootstrap: bool = False, weigh=weigh_balanced) -> Result:
+             n_boot: int = 1000, weigh=weigh_balanced) -> Result:
     """Out-of-fold scores -> threshold -> refit -> hold-out metrics -> bootstrap intervals.
 
     The test rows are used only after the threshold is fixed.
     """
     oof = oof_scores(parts, classifier, folds, weigh)
+    model = classifier(train, -1) if callable(classifier) else classifier.fit(weigh(train))
+    return judge(name, model, oof, materialise(score(model, test, (S.ROW_ID, S.LABEL))), beta=beta, n_boot=n_boot)
+
+
+def judge(name: str, model, oof: DataFrame, scored: DataFrame, *, beta: float = 1.0, n_boot: int = 1000) -> Result:
+    """Threshold from out-of-fold scores, metrics and intervals of the hold-out's scores."""
     counts = M.score_counts(oof)
     threshold = M.best_threshold(M.curve(counts), beta=beta).first()["threshold"]
     oof_m = M.evaluate_scores(counts, F.lit(threshold)).first().asDict()
-    model = classifier(train, -1) if callable(classifier) else classifier.fit(weigh(train))
-    scored = materialise(score(model, test, (S.ROW_ID, S.LABEL)))
     m = M.evaluate_scores(M.score_counts(scored), F.lit(threshold)).first().asDict()
     ci = {}
     if n_boot:
-        ci = {r["metric"]: (r["lo"], r["hi"])
-              for r in M.bootstrap_ci(scored, threshold, n_boot, exact=exact_bootstrap).collect()}
+        ci = {r["metric"]: (r["lo"], r["hi"]) for r in bootstrap_intervals(scored, threshold, n_boot).collect()}
     return Result(name, model, threshold, oof, scored, oof_m, m, ci)
 
 

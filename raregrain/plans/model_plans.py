@@ -155,28 +155,9 @@ def protocol_features(spark, sf, **options):
     return X.FoldFeatures(d, T.area_map(spark, sf), [-1, 0, 1, 2, 3, 4], **options)
 
 
-@query("oof_once", Q.folds() + """SELECT (rn_fold)::INT AS fold, count(*) AS n, sum(label)::BIGINT AS n_positive,
-   count(DISTINCT row_id) AS n_distinct FROM (SELECT row_id, label, (row_number() OVER (PARTITION BY label ORDER BY """
-       + hash_sql("row_id", "123") + """, row_id) - 1) * 5 // count(*) OVER (PARTITION BY label) AS rn_fold FROM fd WHERE NOT is_test)
-   GROUP BY 1""")
-def _(spark, sf):
-    ff = protocol_features(spark, sf)
-    oof = L.oof_scores(L.fold_parts(ff), L.logit("l2", 0.01, max_iter=20), [0, 1, 2, 3, 4])
-    return oof.where("score BETWEEN 0 AND 1").groupBy("fold").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("label").cast("long")).alias("n_positive"),
-        F.count_distinct("row_id").alias("n_distinct"))
-
-
-@query("protocol_logit")
-def _(spark, sf):
-    ff = protocol_features(spark, sf)
-    r = L.evaluate_features("logit l2", L.logit("l2", 0.01, max_iter=20), ff, n_boot=20)
-    return rounded(L.comparison_table(spark, [r]))
-
-
 def _split_sensory(spark, sf):
     d = V.stratified_holdout(sensory(spark, sf).drop("fold"), 0.25)
-    train = V.stratified_folds(d.where("NOT is_test"), 3, S.INNER_SEED)
+    train = V.stratified_folds(d.where("NOT is_test"), S.N_FOLDS, S.INNER_SEED)
     return train, d.where("is_test")
 
 
@@ -186,7 +167,7 @@ def _split_sensory(spark, sf):
                                         "(SELECT count(*) AS n FROM embeddings GROUP BY label = 0)"))
 def _(spark, sf):
     train, test = _split_sensory(spark, sf)
-    r = L.evaluate("logit", L.logit("l2", 0.01), L.plain_parts(train), train, test, [0, 1, 2], n_boot=40)
+    r = L.evaluate("logit", L.logit("l2", 0.01), L.plain_parts(train), train, test, [0, 1, 2, 3, 4])
     hit = r.oof.where(F.col("score") == F.lit(r.threshold)).count()
     audit = {x["choice"]: x for x in M.threshold_leak_audit(r.test, r.threshold).collect()}
     a, b = audit["out-of-fold threshold"], audit["threshold tuned on test"]
@@ -207,30 +188,6 @@ def _(spark, sf):
                   one_score_per_candidate=len(ap) == 17)
 
 
-@query("feature_elimination")
-def _(spark, sf):
-    d = sensory(spark, sf)
-    whole = X.Encoder(E6, [], True).fit(d.drop("features")).transform(d.drop("features"))
-    names, sizes, _ = L.eliminate_features(E6, L.scaled_parts(d, E6), lambda f: L.logit(featuresCol=f, max_iter=100),
-                                           [0, 1, 2, 3, 4], whole, min_features=2)
-    return spark.createDataFrame([(n, float(a), len(names) == n) for n, a in sizes],
-                                 "n_features int, mean_auprc double, selected boolean")
-
-
-LASSO_GRID = [10 ** (-4 + 8 * i / 19) for i in range(20)]  # fixed values: inverse strengths of the path
-
-
-@query("lasso_path")
-def _(spark, sf):
-    d = V.stratified_holdout(sensory(spark, sf).drop("fold", "features"), 0.25)
-    train = materialise(V.stratified_folds(d.where("NOT is_test"), 5, S.INNER_SEED))
-    grid = [L.PenalisedLogit("l1", c, max_iter=100) for c in LASSO_GRID]
-    best, _ = L.grid_search(L.scaled_parts(train, E6), grid, [0, 1, 2, 3, 4])
-    m = grid[best].fit(L.weigh_balanced(X.Encoder(E6, [], True).fit(train).transform(train)))
-    return rounded(spark.createDataFrame([(n, float(c), abs(float(c))) for n, c in zip(E6, m.coefficients)],
-                                         "feature string, lasso_coef double, abs_lasso_coef double")).orderBy(F.desc("abs_lasso_coef"))
-
-
 @query("boosted_grid", flags_sql(["one_score_per_candidate", "best_is_maximum"], N_VEC))
 def _(spark, sf):
     d = sensory(spark, sf, 2)
