@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from .common import bounded_batches, query, table
+from .common import bounded_batches, query, table, worker_memory
 from .tokenfiles import word_path
 from .tokens import WHITE, ChunkMemory, byte_symbols, white_chunks
 
@@ -339,7 +339,7 @@ def decode(rules: Rules, ids: Iterable[int]) -> str:
     return "".join(stream.feed(ids)) + stream.finish()
 
 
-_RULES: dict[str, Rules] = {}
+_RULES: dict[str, Rules] = worker_memory("bpe rules")
 
 
 def rules_of(path: str) -> Rules:
@@ -376,7 +376,7 @@ class Codec:
             yield [known[c] if len(c) <= SHORT else self._make([c])[0] for c in cs]
 
 
-_CODECS: dict[str, Codec] = {}
+_CODECS: dict[str, Codec] = worker_memory("bpe codecs")
 
 
 def codec(path: str) -> Codec:

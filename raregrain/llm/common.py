@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +58,7 @@ def fresh(df: DataFrame, stem: str) -> str:
     return name
 
 
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 23}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 1000, "spark.sql.execution.arrow.maxBytesPerBatch": 1 << 22}
 
 
 def bounded_batches(spark: SparkSession) -> None:
@@ -69,6 +72,35 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, most)
 
 
+_HELD: dict[str, dict] = {}
+
+
+def worker_memory(owner: str) -> dict:
+    """A dictionary that the tasks of an operator share while a Python worker stays in use for it."""
+    return _HELD.setdefault(owner, {})
+
+
+def begin(owner: str) -> None:
+    """Called where a task starts: what tasks of other operators left in a reused worker is given back.
+
+    So the stages of a pipeline do not add up.
+    """
+    others = [held for name, held in _HELD.items() if name != owner and held]
+    for held in others:
+        held.clear()
+    if others:
+        gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory to the system; also called where a task ends, as its worker may stay idle for long."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions: the one knob that says how wide the work is dealt out."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import bounded_batches, from_files, partitions, query, split_key, table
+from .common import begin, bounded_batches, give_back, from_files, partitions, query, split_key, table
 from .splits import MESSAGE, by_split, exchange, load, message, pack, runs, seen, unpack
 from .words import mix, shingles, small_batches, word_hashes
 
@@ -119,7 +119,8 @@ def _fingerprints(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                          T.StructField("same", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in small_batches(batches, 2, 1 << 22):
+        begin("near")
+        for b in small_batches(batches, 2, 1 << 19):
             hashes, first = word_hashes(b.column(2), fold=True)
             raw = hashes.tobytes()
             same = [hashlib.blake2b(raw[8 * a:8 * e], digest_size=16).digest() if e > a else None
@@ -129,6 +130,7 @@ def _fingerprints(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                                              pa.array(got.ravel().view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.binary()), lists],
                                              names=kind.names)
+        give_back()
     return docs.select("split", "id", "text").mapInArrow(scan, kind)
 
 
@@ -158,6 +160,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, prints: DataFrame) -> Data
     kind = T.StructType([T.StructField("id", T.LongType()), T.StructField("body", T.BinaryType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("near")
         for split, rows in by_split(batches, 0):
             found = load(folder, split, 1)
             if found is None:
@@ -165,7 +168,7 @@ def _shingle_sets(docs: DataFrame, wanted: DataFrame, prints: DataFrame) -> Data
             for b in rows:
                 here = b.column(0).to_numpy(zero_copy_only=False)
                 b = b.filter(pa.array(np.isin(here, found[0])))
-                for part in small_batches(iter([b]), 1, 1 << 22):
+                for part in small_batches(iter([b]), 1, 1 << 19):
                     values, texts = shingles(*word_hashes(part.column(1), fold=True), WIDTH)
                     order = np.lexsort((values, texts))
                     values, bounds = values[order], np.searchsorted(texts[order], np.arange(part.num_rows + 1))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import fresh, partitions, query, table
+from .common import begin, fresh, give_back, partitions, query, table
 
 MAX_BITS = 1 << 27
 HASHES = 4
@@ -67,6 +67,7 @@ def repeated_filter(hashes: DataFrame, bits: int) -> np.ndarray:
     schema = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("exact")
         once, twice = np.zeros(bits, bool), np.zeros(bits, bool)
         seen = False
         for b in batches:
@@ -78,6 +79,7 @@ def repeated_filter(hashes: DataFrame, bits: int) -> np.ndarray:
                 _hit(once, twice, fold)
         if not seen:
             return
+        give_back()
         for s in range(segments):
             part = slice(s * width, (s + 1) * width)
             if once[part].any():

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import bounded_batches, query, table
+from .common import begin, bounded_batches, query, table, worker_memory
 
 SAMPLE = 3000
 ROUNDS = 3
@@ -87,7 +87,7 @@ class Vocabulary:
         return out
 
 
-_LOADED: dict[str, Vocabulary] = {}
+_LOADED: dict[str, Vocabulary] = worker_memory("language")
 
 
 def vocabulary(path: str) -> Vocabulary:
@@ -182,6 +182,7 @@ def fit(docs: DataFrame, path: str, text: str = "text", lang: str = "lang", id_c
         now = docs.sparkSession.sparkContext.broadcast(probs)
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            begin("language")
             own = vocabulary(path)
             sums = np.zeros((own.size, len(names)))
             for b in batches:
@@ -216,6 +217,7 @@ def predict(docs: DataFrame, path: str, names: list[str], probs: np.ndarray, tex
                         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("language")
         voc, p = vocabulary(path), shared.value
         row: dict[str, int] = {}
         table_ = np.zeros((1024, len(names)))

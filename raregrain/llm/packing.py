@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import bounded_batches, query, table
+from .common import begin, bounded_batches, query, table
 from .tokens import encoder
 
 CAPACITY = 2048
@@ -52,6 +52,7 @@ def pieces(docs: DataFrame, path: str, text: str, id_col: str, capacity: int, en
     tail = np.array([end], "<u4").tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("tokens")
         tool, task = encoder(path), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for whole in batches:

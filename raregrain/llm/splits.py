@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import partitions, shared_fs, shared_uri, write_atomically
+from .common import give_back, partitions, shared_fs, shared_uri, write_atomically
 
 MESSAGE = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("split", T.LongType()),
                         T.StructField("body", T.BinaryType())])
@@ -75,6 +75,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[tuple[int, lis
             rows.append(row)
     if rows:
         yield now, rows
+    give_back()
 
 
 def by_split(batches: Iterator[pa.RecordBatch], split: int) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
@@ -104,6 +105,7 @@ def by_split(batches: Iterator[pa.RecordBatch], split: int) -> Iterator[tuple[in
         yield now, group
         for _ in group:  # what the caller left
             pass
+    give_back()
 
 
 def exchange(messages: DataFrame, answer: Callable[[int, list[tuple[int, bytes]]], Iterator[tuple[int, bytes]]],

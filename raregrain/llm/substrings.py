@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, fresh, from_files, partitions, query, split_key, table
+from .common import begin, bounded_batches, fresh, from_files, partitions, query, split_key, table
 from .splits import MESSAGE, by_part, by_split, exchange, load, pack, seen, unpack
 from .words import hash_spans, owners, small_batches, utf8, windows, word_hashes, word_spans
 
@@ -68,6 +68,7 @@ def _repeated_anchors(docs: DataFrame, width: int, period: int, cover: tuple[int
     parts = partitions(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin("substrings")
         for split, rows in by_split(batches, 0):
             yield seen(split)
             found = []

@@ -23,13 +23,15 @@ import re
 import unicodedata
 from array import array
 
+from .common import worker_memory
+
 MEMORY = 400_000  # chunks of one generation; a worker remembers two
 # White_Space of Unicode: what the tokenizers library takes as \s. (Python's also has 0x1c-0x1f.)
 WHITE = "\t-\r \x85\xa0  -     　"
 CLOSING = ".,;:!?*#&%$)\""  # one piece behind a word for both splitters; no apostrophe, no part of a special token
 _WHITE = re.compile(f"[{WHITE}]+")
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
-_ENCODERS: dict[str, "ChunkEncoder"] = {}
+_ENCODERS: dict[str, "ChunkEncoder"] = worker_memory("tokens")
 
 
 def byte_symbols() -> list[str]:

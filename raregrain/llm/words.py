@@ -140,7 +140,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     return np.concatenate(values), np.concatenate(texts)
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: int, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of text, so that arrays over words stay small."""
     for b in batches:
         if not b.num_rows:

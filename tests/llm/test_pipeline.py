@@ -79,7 +79,7 @@ def test_empty_documents(spark, tmp_path):
 
 def test_one_query_for_each_operator():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
