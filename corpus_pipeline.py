@@ -33,9 +33,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the smallest doc_id stays; rows without an id stay."""
     classes = near_duplicate_classes(docs)
-    stay = classes.where("doc_id = class_id").select(F.col("doc_id").alias("stay")).distinct()
-    known = docs.where("doc_id IS NOT NULL").join(stay, F.col("doc_id") == F.col("stay"), "left_semi")
-    return known.unionByName(docs.where("doc_id IS NULL")).select(*COLUMNS)
+    go = materialise(classes.groupBy(F.col("doc_id").alias("go"))
+                     .agg(F.max(F.col("doc_id") == F.col("class_id")).alias("stays")).where("NOT stays").select("go"))
+    return docs.join(go, F.col("doc_id") == F.col("go"), "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
