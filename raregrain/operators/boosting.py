@@ -1,10 +1,11 @@
 """Second-order boosted trees of many folds and settings, grown together from histograms.
 
 A *design* is one set of encoded rows with a role each: fitted on, watched for early stopping, or only scored. Columns are cut
-into at most ``BINS`` bins at quantiles of the design's fit rows. Every design has any number of models. One
+into at most ``BINS`` bins: at each value of the design's fit rows where those are few, else at their quantiles. Every design has any number of models. One
 level of the current tree of all models is one job: each task adds the gradients and curvatures of its rows by open node,
 column and bin, the sums meet by model, and the driver picks the splits from them. What it receives is
-models x nodes x columns x bins and does not grow with the rows. The loss of the watched rows comes with the
+models x nodes x columns x bins and does not grow with the rows; where the sums of all tasks together are at most ``_DIRECT``
+numbers, they come without the exchange. The loss of the watched rows comes with the
 first level of the next tree, so a model that stops early never grows its later trees.
 
 A row's raw scores are stored with it and brought up to date every ``EVERY`` trees; the trees in between are applied where
@@ -17,6 +18,7 @@ of the row id and the tree's number. A missing or not-a-number value sorts behin
 
 from __future__ import annotations
 
+import statistics
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,6 +37,7 @@ EVERY = 40
 ROWS = 2048  # rows of a block
 PENALTY = 1.0
 LEAST_GAIN = 1e-6
+_DIRECT = 1 << 22
 _UNIT = 24  # bits behind the point of summed gradients
 
 
@@ -108,11 +111,18 @@ def binned(parts: dict[int, list[tuple[DataFrame, int]]]) -> Binned:
     probs = [i / (BINS - 1) for i in range(BINS - 1)]
     long = (out.where(F.col("role") == FIT).select("design", F.posexplode("x").alias("j", "v"))
             .where("v IS NOT NULL AND NOT isnan(v)"))
-    found = long.groupBy("design", "j").agg(F.percentile_approx("v", F.lit(probs), 20 * BINS).alias("c")).collect()
+    found = long.groupBy("design", "j").agg(F.percentile_approx("v", F.lit(probs), 20 * BINS).alias("c"),
+                                            F.approx_count_distinct("v", 0.02).alias("n")).collect()
+    few = [10**6 * r["design"] + r["j"] for r in found if r["n"] <= 1.2 * BINS]
+    values: dict[tuple[int, int], list[float]] = {}
+    if few:
+        for r in long.where((10**6 * F.col("design") + F.col("j")).isin(few)).distinct().collect():
+            values.setdefault((r["design"], r["j"]), []).append(r["v"])
     widths = {r[0]: r[1] for r in out.groupBy("design").agg(F.max(F.size("x"))).collect()}
     cuts = {d: [np.zeros(0)] * w for d, w in widths.items()}
     for r in found:
-        cuts[r["design"]][r["j"]] = np.unique(np.array(r["c"]))
+        own = values.get((r["design"], r["j"]), [])
+        cuts[r["design"]][r["j"]] = np.unique(np.array(own if 0 < len(own) < BINS else r["c"]))
 
     def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -171,7 +181,7 @@ def _raw(part: pa.RecordBatch, bins: np.ndarray, pending: list[list[Tree]]) -> n
 
 
 def _level(rows: DataFrame, live: list[tuple[int, int, Boosted]], pending: dict, growing: dict, level: int,
-           number: int, unit: int) -> dict[int, np.ndarray]:
+           number: int, unit: int, tasks: int, widths: dict[int, int]) -> dict[int, np.ndarray]:
     """{model: sums}: the loss of the watched rows and their number, then (nodes, columns, bins, 2) gradients and curvatures.
 
     ``live``: (model, its place in the design, the model). All numbers are integers of 2**-unit.
@@ -222,10 +232,15 @@ def _level(rows: DataFrame, live: list[tuple[int, int, Boosted]], pending: dict,
             yield pa.RecordBatch.from_arrays([pa.array(list(acc), pa.int32()), pa.array([a.tobytes() for a in acc.values()],
                                                                                         pa.binary())], names=["model", "body"])
     designs = sorted({m.design for _, _, m in live})
-    found = (rows.where(F.col("design").isin(designs)).mapInArrow(scan, kind)
-             .repartition(min(len(live), 64), "model").mapInArrow(add, kind).collect())
+    found = rows.where(F.col("design").isin(designs)).mapInArrow(scan, kind)
+    if tasks * sum((1 << level) * widths[m.design] * BINS * 2 for _, _, m in live) > _DIRECT:
+        found = found.repartition(min(len(live), 64), "model").mapInArrow(add, kind)
+    out: dict[int, np.ndarray] = {}
+    for r in found.collect():
+        got = np.frombuffer(r["body"], np.int64)
+        out[r["model"]] = out[r["model"]] + got if r["model"] in out else got
     shared.unpersist()
-    return {r["model"]: np.frombuffer(r["body"], np.int64) for r in found}
+    return out
 
 
 def _split(tree: Tree, level: int, cells: np.ndarray, columns: np.ndarray, m: Boosted, unit: int) -> bool:
@@ -267,13 +282,14 @@ def fit(data: Binned, models: list[Boosted]) -> list[Boosted]:
     count = rows.where(F.col("role") == FIT).groupBy("design").count().agg(F.max("count")).first()[0] or 0
     heaviest = max([1.0, *(m.positive for m in models)])
     unit = min(_UNIT, 61 - int(np.ceil(np.log2(max(2.0, 16 * count * heaviest)))))  # sums stay below 2**62
+    widths, tasks = {d: len(c) for d, c in data.cuts.items()}, rows.rdd.getNumPartitions()
     live = [(i, own.index(i), models[i]) for own in places.values() for i in own]
     while live:
         growing = {i: Tree(m.depth) for i, _, m in live}
         open_ = live
         for level in range(max(m.depth for _, _, m in live)):
             open_ = [(i, at, m) for i, at, m in open_ if level < m.depth]
-            got = _level(rows, open_, pending, growing, level, number, unit) if open_ else {}
+            got = _level(rows, open_, pending, growing, level, number, unit, tasks, widths) if open_ else {}
             if level == 0:
                 for i, _, m in live:
                     if number and i in got and got[i][1]:
@@ -292,12 +308,25 @@ def fit(data: Binned, models: list[Boosted]) -> list[Boosted]:
         number += 1
         if live and number % EVERY == 0:
             rows = _updated(rows, pending)
+            tasks = rows.rdd.getNumPartitions()
             pending = {d: [[] for _ in own] for d, own in places.items()}
     for m in models:
         m.best = m.best if m.losses else len(m.grown)
     return models
 
 
+def frozen_count(data: Binned, positive: dict[int, float], cap: int = 4000, patience: int = 50,
+                 **settings) -> tuple[int, list[int], list[int]]:
+    """Number of trees = int(1.1 * median over the designs of the early-stopped tree).
+
+    ``positive``: the weight of a positive in each design. Also returns each design's tree and the
+    designs whose watched loss was still falling at the cap.
+    """
+    models = fit(data, [Boosted(d, trees=cap, positive=w, patience=patience, **settings) for d, w in positive.items()])
+    best = [m.best for m in models]
+    return int(statistics.median(best) * 1.1), best, [m.design for m in models if m.best > cap - patience]
+
+
 def _updated(rows: DataFrame, pending: dict) -> DataFrame:
     """The rows with their raw scores brought up to date."""
     shared = rows.sparkSession.sparkContext.broadcast(pending)

@@ -7,12 +7,13 @@ must hold (optimality, coverage, additivity) and the row counts they hold on.
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions.hashing import hash_sql
 from ..functions.scratch import materialise
+from ..operators import boosting as B
 from ..operators import features as X
 from ..operators import inference as G
 from ..operators import interpret as I
@@ -216,6 +217,45 @@ def _(spark, sf):
     return _flags(spark, d.count(), count_in_range=0 < n <= 11, count_from_median=n == int(sum(best) / 2 * 1.1))
 
 
+_STEP = 0.125  # first splits are sought between multiples of this
+_FIRST_SPLIT = f"""WITH v AS (SELECT vec_id AS row_id, (label = 0)::INT AS label, embedding FROM embeddings),
+ vf AS (SELECT *, ((row_number() OVER (PARTITION BY label ORDER BY {hash_sql('row_id')}, row_id) - 1) * {S.N_FOLDS}
+   // count(*) OVER (PARTITION BY label))::INT AS own FROM v),
+ w AS (SELECT fold, count(*) FILTER (label = 0)::DOUBLE / count(*) FILTER (label = 1) AS w
+   FROM vf, range(0, {S.N_FOLDS}) t(fold) WHERE own <> fold GROUP BY 1),
+ cell AS (SELECT fold, j, floor(embedding[j]::DOUBLE / {_STEP}) * {_STEP} AS x, sum(label) AS n1, sum(1 - label) AS n0
+   FROM vf, range(0, {S.N_FOLDS}) t(fold), range(1, len(embedding) + 1) u(j) WHERE own <> fold GROUP BY 1, 2, 3),
+ c AS (SELECT *, sum(n1) OVER o AS l1, sum(n0) OVER o AS l0, sum(n1) OVER (PARTITION BY fold, j) AS t1,
+   sum(n0) OVER (PARTITION BY fold, j) AS t0 FROM cell WINDOW o AS (PARTITION BY fold, j ORDER BY x)),
+ s AS (SELECT fold, j, x, (l0 - w * l1) / 2 AS gl, (l0 + w * l1) / 4 AS hl, (t0 - l0 - w * (t1 - l1)) / 2 AS gr,
+   (t0 - l0 + w * (t1 - l1)) / 4 AS hr FROM c JOIN w USING (fold)),
+ g AS (SELECT *, gl * gl / (hl + 1) + gr * gr / (hr + 1) - (gl + gr) * (gl + gr) / (hl + hr + 1) AS gain FROM s
+   WHERE hl >= 2 AND hr >= 2),
+ r AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY round(gain, 9) DESC, j, x) AS nth FROM g)
+SELECT fold::INT AS fold, j::INT AS component, x AS cut, round(gain, 3) AS gain, round(-gl / (hl + 1), 4) + 0 AS left_value,
+  round(-gr / (hr + 1), 4) + 0 AS right_value FROM r WHERE nth = 1 AND gain > 1e-6"""
+
+
+def whole_vectors(spark, sf):
+    """All components of the vectors, the label of the second track, folds."""
+    v = spark.read.parquet(f"{sf}/embeddings.parquet").select(
+        F.col("vec_id").cast("long").alias("row_id"), (F.col("label") == 0).cast("int").alias("label"),
+        F.col("embedding").cast("array<double>").alias("xs"))
+    return V.stratified_folds(materialise(v)).withColumn("features", array_to_vector("xs"))
+
+
+@query("boosted_first_split", _FIRST_SPLIT)
+def _(spark, sf):
+    d = whole_vectors(spark, sf).withColumn("features", array_to_vector(F.transform("xs", lambda x: F.floor(x / _STEP) * _STEP)))
+    parts = {f: B.roles(d.where(F.col("fold") != f)) for f in range(S.N_FOLDS)}
+    data = B.binned(parts)
+    models = B.fit(data, [B.Boosted(f, 1.0, 1, 1, V.imbalance_ratio(parts[f][0][0]), rows=1.0, columns=1.0) for f in parts])
+    rows = [(m.design, int(t.feature[0]) + 1, float(data.cuts[m.design][t.feature[0]][t.cut[0]]), round(float(t.gain[0]), 3),
+             round(float(t.value[1]), 4) + 0.0, round(float(t.value[2]), 4) + 0.0)
+            for m in models for t in m.grown if t.feature[0] >= 0]
+    return spark.createDataFrame(rows, "fold int, component int, cut double, gain double, left_value double, right_value double")
+
+
 @query("boosted_batch_score")
 def _(spark, sf):
     d = sensory(spark, sf)

@@ -68,7 +68,9 @@ def test_equals_a_plain_booster(spark, monkeypatch, depth, rate, every, parts):
     assert np.allclose([c * g for _, c, g in B.column_gains(m, list("abcd"))], gains, rtol=1e-4, atol=1e-5)
 
 
-def test_models_together_equal_models_alone_and_any_dealing(spark):
+@pytest.mark.parametrize("direct", [0, 1 << 22])
+def test_models_together_equal_models_alone_and_any_dealing(spark, monkeypatch, direct):
+    monkeypatch.setattr(B, "_DIRECT", direct)
     _, _, df = table(spark, 200)
     parts = {f: B.roles(df.where(F.col("row_id") % 3 != f), None, df.where(F.col("row_id") % 3 == f)) for f in (0, 1)}
 
@@ -92,6 +94,14 @@ def test_stops_after_patience_and_keeps_the_best(spark):
     assert m.best == 1 + int(np.argmin(m.losses)) and len(m.losses) == len(m.grown) == m.best + 5 < 200
 
 
+def test_cuts_are_all_values_where_few_else_quantiles(spark):
+    df = spark.createDataFrame([(i, 0, [float(i == 7), float(i % 200), float(i)]) for i in range(2000)],
+                               "row_id bigint, label int, x array<double>").withColumn("features", array_to_vector("x"))
+    one, few, many = B.binned({4: B.roles(df)}).cuts[4]
+    assert one.tolist() == [0.0, 1.0] and few.tolist() == list(range(200))
+    assert len(many) == B.BINS - 1 and np.diff(many).max() <= 12
+
+
 def test_draws_rows_and_columns_by_hash():
     keys = np.arange(20_000, dtype=np.int64) * 7919
     a, b = B._drawn(keys, 0, 0.9), B._drawn(keys, 1, 0.9)
