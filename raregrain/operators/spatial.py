@@ -92,11 +92,11 @@ def build_tree(df: DataFrame, id_col: str, space: Space, leaf_size: int = 256) -
         stats = cur.groupBy("node").agg(*box, *mid, F.count(F.lit(1)).alias("n_points"),
                                         F.sum("weight").alias("weight"))
         split = (F.col("n_points") > leaf_size) & F.lit(depth < MAX_DEPTH)
-        widest = F.greatest(*[space._spread(c) for c in space.all]) if len(space.all) > 1 else space._spread(space.all[0])
-        dim = F.coalesce(*[F.when(space._spread(c) == widest, F.lit(i)) for i, c in enumerate(space.all)])
-        cut = F.coalesce(*[F.when(dim == i, F.when(F.col(f"md_{c}") < F.col(f"hi_{c}"), F.col(f"md_{c}"))
-                                  .otherwise((F.col(f"lo_{c}") + F.col(f"hi_{c}")) / 2))
-                           for i, c in enumerate(space.all)])
+        # arrays keep the plan linear in the number of dimensions
+        spreads = F.array(*[space._spread(c) for c in space.all])
+        dim = (F.array_position(spreads, F.array_max(spreads)) - 1).cast("int")
+        cut = F.get(F.array(*[F.when(F.col(f"md_{c}") < F.col(f"hi_{c}"), F.col(f"md_{c}"))
+                              .otherwise((F.col(f"lo_{c}") + F.col(f"hi_{c}")) / 2) for c in space.all]), dim)
         stats = materialise(stats.select(
             "node", *[f"{n}_{c}" for c in space.all for n in ("lo", "hi")], "n_points", "weight",
             (~split).alias("is_leaf"), F.when(split, dim).alias("dim"), F.when(split, cut).alias("cut")))
@@ -104,7 +104,7 @@ def build_tree(df: DataFrame, id_col: str, space: Space, leaf_size: int = 256) -
         if stats.where("NOT is_leaf").isEmpty():
             break
         cuts = stats.where("NOT is_leaf").select("node", "dim", "cut")
-        x = F.coalesce(*[F.when(F.col("dim") == i, F.col(c)) for i, c in enumerate(space.all)])
+        x = F.get(F.array(*[F.col(c) for c in space.all]), F.col("dim"))
         moved = cur.join(cuts, "node", "left").withColumn("child", F.when(
             F.col("dim").isNotNull(), F.col("node") * 2 + (x > F.col("cut")).cast("long")))
         moved = moved.withColumn("leaf", F.when(F.col("child").isNull(), F.col("node")))

@@ -8,6 +8,7 @@ from .. import schema as S
 from ..functions.hashing import hash_sql, uniform_sql
 from ..functions.ranking import value_rank
 from ..operators import features as X
+from ..operators import linkage as K
 from ..operators import resample as R
 from ..operators import silhouettes as H
 from ..operators import spatial as P
@@ -108,6 +109,24 @@ def _(spark, sf):
     return rounded(U.silhouette(T.vectors(spark, sf), XYZ, "label"))
 
 
+@query("single_link_merges", """WITH RECURSIVE ix AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, embedding::DOUBLE[] AS x FROM embeddings),
+ dm AS (SELECT a.i, list(list_distance(a.x, b.x) ORDER BY b.i) AS d FROM ix a, ix b GROUP BY a.i),
+ prim(k, best, height) AS (SELECT 0, list_transform(d, lambda v, j: CASE WHEN j = 1 THEN 'inf'::DOUBLE ELSE v END), NULL::DOUBLE
+   FROM dm WHERE i = 1
+  UNION ALL
+  SELECT k + 1, list_transform(best, lambda v, j: CASE WHEN j = i OR v = 'inf'::DOUBLE THEN v + 'inf'::DOUBLE ELSE least(v, d[j]) END), list_min(best)
+   FROM prim JOIN dm ON dm.i = list_position(best, list_min(best)) WHERE k + 1 < (SELECT count(*) FROM ix))
+SELECT row_number() OVER (ORDER BY height) AS merge, round(height, 6) + 0.0 AS height FROM prim WHERE k > 0""")
+def _(spark, sf):
+    """The heights of all merges over the whole vectors; the SQL grows the spanning tree point by point."""
+    v = T.table(spark, sf, "embeddings")
+    dims = [f"e{i + 1}" for i in range(v.select(F.size("embedding")).first()[0])]
+    wide = v.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)])
+    # in so many dimensions boxes tell little apart: large leaves, and longer lists that decide more rounds
+    edges = K.spanning_tree(P.build_tree(wide, "vec_id", P.Space(dims), 1024), 32)
+    return rounded(K.merges(edges).select("merge", "height"))
+
+
 LOT_COLUMNS = ["altitude", "moisture", "c1", "c2", "latitude", "longitude"]
 PROCESSING_CODES = {"Urgent": 1, "High": 2, "Medium": 3}
 
