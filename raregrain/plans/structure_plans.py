@@ -30,6 +30,14 @@ def tree(spark, sf, leaf_size=256):
     return P.build_tree(T.vectors(spark, sf), "row_id", P.Space(XYZ), leaf_size)
 
 
+def whole_tree(spark, sf, leaf_size=1024):
+    """A tree over all components; in so many dimensions boxes tell little apart, hence the large leaves."""
+    v = T.table(spark, sf, "embeddings")
+    dims = [f"e{i + 1}" for i in range(v.select(F.size("embedding")).first()[0])]
+    wide = v.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)])
+    return P.build_tree(wide, "vec_id", P.Space(dims), leaf_size)
+
+
 @query("knn_join", Q.vec(_PAIRS) + """SELECT id, rank::INT AS rank, other AS neighbour, round(sqrt(d2), 6) AS dist FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY sqrt(d2), other) AS rank FROM pr WHERE id <> other) WHERE rank <= 5""")
 def _(spark, sf):
@@ -119,14 +127,20 @@ def _(spark, sf):
 SELECT row_number() OVER (ORDER BY height) AS merge, round(height, 6) + 0.0 AS height FROM prim WHERE k > 0""")
 def _(spark, sf):
     """The heights of all merges over the whole vectors; the SQL grows the spanning tree point by point."""
-    v = T.table(spark, sf, "embeddings")
-    dims = [f"e{i + 1}" for i in range(v.select(F.size("embedding")).first()[0])]
-    wide = v.select("vec_id", *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(dims)])
-    # in so many dimensions boxes tell little apart: large leaves, and longer lists that decide more rounds
-    edges = K.spanning_tree(P.build_tree(wide, "vec_id", P.Space(dims), 1024), 32)
+    # long lists decide most rounds without a search
+    edges = K.spanning_tree(whole_tree(spark, sf), 32)
     return rounded(K.merges(edges).select("merge", "height"))
 
 
+@query("knn_whole", """WITH pr AS (SELECT a.vec_id AS id, b.vec_id AS other, list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS d
+   FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id)
+SELECT id, rank::INT AS rank, other AS neighbour, round(d, 6) + 0.0 AS dist FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(d, 12), other) AS rank FROM pr) WHERE rank <= 5""")
+def _(spark, sf):
+    """The five nearest other rows by all components of the vectors."""
+    return rounded(P.knn(whole_tree(spark, sf), 5).drop("xs"))
+
+
 LOT_COLUMNS = ["altitude", "moisture", "c1", "c2", "latitude", "longitude"]
 PROCESSING_CODES = {"Urgent": 1, "High": 2, "Medium": 3}
 
