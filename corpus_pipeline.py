@@ -14,6 +14,7 @@ from raregrain.llm.packing import byte_path, pack_documents
 from raregrain.llm.substrings import dedup_substrings
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+REMEMBERED = 50_000  # chunks of text a packing worker remembers: by then the stages before have widened the executors' heaps
 LEAST_SCORE = 0.5  # share of the best language below which a text has none
 
 
@@ -50,7 +51,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents that are left and their places in sequences of 2048 tokens."""
-    return pack_documents(docs, byte_path())
+    return pack_documents(docs, byte_path(), memory=REMEMBERED)
 
 
 STAGES = [

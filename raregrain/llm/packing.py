@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scratch import materialise
-from .common import begin, bounded_batches, query, table
-from .tokens import encoder
+from .common import begin, bounded_batches, give_back, query, table
+from .tokens import MEMORY, encoder
 
 CAPACITY = 2048
 END = 0
@@ -44,7 +44,8 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head)] + [(s, capacity) for s in range(head, length, capacity)]
 
 
-def pieces(docs: DataFrame, path: str, text: str, id_col: str, capacity: int, end: int) -> DataFrame:
+def pieces(docs: DataFrame, path: str, text: str, id_col: str, capacity: int, end: int,
+           memory: int = MEMORY) -> DataFrame:
     """One row per piece, with its task and its rank among the pieces of its length in that task."""
     kind = T.StructType([T.StructField(n, T.LongType()) for n in (
         "doc_id", "start", "length", "ids_crc32", "nth")] + [T.StructField("piece", T.IntegerType()),
@@ -53,7 +54,7 @@ def pieces(docs: DataFrame, path: str, text: str, id_col: str, capacity: int, en
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin("tokens")
-        tool, task = encoder(path), TaskContext.get().partitionId()
+        tool, task = encoder(path, memory), TaskContext.get().partitionId()
         seen = [0] * (capacity + 1)
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
@@ -68,6 +69,10 @@ def pieces(docs: DataFrame, path: str, text: str, id_col: str, capacity: int, en
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 5 + [pa.int32()] * 2)],
                     names=kind.names)
+        if memory < MEMORY:  # the worker may stay idle for long
+            tool.plain.forget()
+            tool.spaced.forget()
+            give_back()
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, kind)
 
 
@@ -174,10 +179,13 @@ def places(patterns: list[tuple[tuple[int, ...], int]], capacity: int) -> tuple[
 
 
 def pack_documents(docs: DataFrame, path: str, text: str = "text", id_col: str = "doc_id",
-                   capacity: int = CAPACITY, end: int = END) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece."""
+                   capacity: int = CAPACITY, end: int = END, memory: int = MEMORY) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece.
+
+    With less than the usual ``memory`` (chunks that a worker remembers) the result stays, the work takes longer.
+    """
     bounded_batches(docs.sparkSession)
-    found = materialise(pieces(docs, path, text, id_col, capacity, end))
+    found = materialise(pieces(docs, path, text, id_col, capacity, end, memory))
     by_task = found.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     shift = materialise(by_task.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))))

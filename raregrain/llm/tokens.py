@@ -72,6 +72,9 @@ class ChunkMemory:
     def __init__(self, make, limit: int = MEMORY):
         self.make, self.limit, self.young, self.old = make, limit, {}, {}
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def prepare(self, chunks: set[str]) -> dict:
         """A dictionary that has all the chunks; ``make`` is called with those not remembered."""
         young = self.young
@@ -115,16 +118,21 @@ class ChunkEncoder:
         core = chunk.rstrip(CLOSING)
         if not core.isalpha():
             return None
+        tail = chunk[len(core):]
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {"": b""}
+            self.tails[tail] = self.ids([tail])[0]
+        if tail:
+            memory = self.spaced if before else self.plain
+            known = memory.young.get(core) or memory.old.get(core)
+            if known:
+                return known + self.tails[tail]
         if self.kind == "white":
             low = core.lower()
             if not core.isascii() and ("Σ" in core or not low.isalpha() or not unicodedata.is_normalized("NFC", core)):
                 return None
             core = low
-        tail = chunk[len(chunk.rstrip(CLOSING)):]
-        if tail not in self.tails:
-            if len(self.tails) > 10_000:
-                self.tails = {"": b""}
-            self.tails[tail] = self.ids([tail])[0]
         if before or not core.isascii():
             core = (before + core).encode().decode("latin-1").translate(self.symbols)
         return array("I", [t.id for t in self.model.tokenize(core)]).tobytes() + self.tails[tail]
@@ -160,8 +168,10 @@ class ChunkEncoder:
         return self.ids(texts)
 
 
-def encoder(path: str) -> ChunkEncoder:
-    """The worker's encoder of a tokenizer file."""
+def encoder(path: str, memory: int = MEMORY) -> ChunkEncoder:
+    """The worker's encoder of a tokenizer file; it remembers ``memory`` chunks a generation."""
     if path not in _ENCODERS:
         _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+    tool = _ENCODERS[path]
+    tool.plain.limit = tool.spaced.limit = memory
+    return tool

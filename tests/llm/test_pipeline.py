@@ -7,6 +7,8 @@ import __spark_entry__ as entry
 import corpus_pipeline as cp
 from raregrain.functions.scratch import materialise
 from raregrain.llm.langid import held_out
+from raregrain.llm.packing import byte_path, pack_documents
+from raregrain.llm.tokens import encoder
 from tests.parity import compare, connect
 
 from . import test_exact, test_near, test_substrings
@@ -93,3 +95,18 @@ def test_language_accuracy_on_held_out_documents(spark, sf):
     held = out.where(held_out()).join(docs, "doc_id")
     assert out.count() == docs.count()
     assert held.where("lang = lang_pred").count() >= 0.98 * held.count()
+
+
+def test_packing_in_the_pipeline_remembers_little_and_gives_the_same(spark, monkeypatch):
+    tool = encoder(byte_path(), cp.REMEMBERED)
+    for at in range(0, 300_000, 20_000):
+        tool.encode([" ".join(f"w{i}" for i in range(at, at + 20_000))])
+    held = sum(len(m.young) + len(m.old) for m in (tool.plain, tool.spaced))
+    encoder(byte_path())
+    assert held <= 2 * cp.REMEMBERED + 100
+    rows = corpus()
+    docs = materialise(documents(spark, rows))
+    monkeypatch.setattr(cp, "REMEMBERED", 50)
+    found = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert (sorted(cp.pack(spark, docs, "").select(*found).collect(), key=str)
+            == sorted(pack_documents(docs, byte_path()).select(*found).collect(), key=str))
