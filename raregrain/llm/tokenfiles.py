@@ -69,6 +69,25 @@ class Code:
             control |= fields[i::self.fields] << np.uint8(self.bits * i)
         return control.tobytes(), data.tobytes()
 
+    def encode_many(self, ranks: np.ndarray, sizes: np.ndarray) -> list[tuple[bytes, bytes]]:
+        """``encode`` of consecutive runs of ``ranks`` of the given sizes, in one go."""
+        wide = np.ones(len(ranks), np.uint8)
+        for b in range(1, self.most):
+            wide += ranks >= np.uint64(1 << 8 * b)
+        raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :self.most]
+        data = raw[np.arange(self.most, dtype=np.uint8) < wide[:, None]].tobytes()
+        ends = np.cumsum(sizes)
+        bytes_at = np.r_[0, np.cumsum(wide, dtype=np.int64)][np.r_[0, ends]].tolist()
+        held = -(-sizes // self.fields)  # control bytes of a run; its fields start on a byte
+        first = np.r_[0, np.cumsum(held)]
+        fields = np.zeros(int(first[-1]) * self.fields, np.uint8)
+        fields[np.arange(len(ranks)) + np.repeat(first[:-1] * self.fields - (ends - sizes), sizes)] = wide - 1
+        control = np.zeros(int(first[-1]), np.uint8)
+        for i in range(self.fields):
+            control |= fields[i::self.fields] << np.uint8(self.bits * i)
+        control, first = control.tobytes(), first.tolist()
+        return [(control[a:b], data[c:d]) for a, b, c, d in zip(first, first[1:], bytes_at, bytes_at[1:])]
+
     def decode(self, control: bytes, data: bytes, n: int) -> np.ndarray:
         size = self.table[np.frombuffer(control, np.uint8)].ravel()[:n]
         at = np.cumsum(size) - size
@@ -116,8 +135,9 @@ def _frequencies(rows: DataFrame, size: int) -> np.ndarray:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for b in batches:
-            for n, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                total += np.bincount(_ids(raw, n), minlength=size)[:size]
+            found = [_ids(raw, n) for n, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist())]
+            if found:
+                total += np.bincount(np.concatenate(found), minlength=size)[:size]
         at = np.flatnonzero(total)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=kind.names)
@@ -160,15 +180,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str, text: str = "text
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, to_rank = Code(bits), shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                out = []
-                for shard, doc, row, n, raw in zip(*(c.to_pylist() for c in whole.slice(at, 512).columns)):
-                    ranks = to_rank[_ids(raw, n)]
-                    for i in range(0, n, BLOCK):
-                        control, data = code.encode(ranks[i:i + BLOCK])
-                        size_ = min(BLOCK, n - i)
-                        out.append((shard, doc, row, i // BLOCK, size_,
-                                    struct.pack(_BLOCK, size_, len(data)) + control + data))
+            for at in range(0, whole.num_rows, 128):
+                rows = list(zip(*(c.to_pylist() for c in whole.slice(at, 128).columns)))
+                ranks = to_rank[np.concatenate([_ids(raw, n) for *_, n, raw in rows])]
+                parts = [(shard, doc, row, i // BLOCK, min(BLOCK, n - i)) for shard, doc, row, n, _ in rows
+                         for i in range(0, n, BLOCK)]
+                coded = code.encode_many(ranks, np.array([p[4] for p in parts], np.int64))
+                out = [(*p, struct.pack(_BLOCK, p[4], len(data)) + control + data)
+                       for p, (control, data) in zip(parts, coded)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.int64(), pa.int32(),
                                                                 pa.int64(), pa.binary()))], names=kind.names)

@@ -23,6 +23,16 @@ def test_code_round_trip(bits, top, n):
     assert bits == 2 or len(data) == (x < 256).sum() + 2 * (x >= 256).sum()
 
 
+@pytest.mark.parametrize("bits,top", [(1, 1 << 16), (2, 1 << 32)])
+def test_runs_coded_together_are_those_coded_alone(bits, top):
+    rng = np.random.default_rng(bits)
+    sizes = np.array([1, 8, 0, 3, 700, 9, 16, 1])
+    x = (rng.integers(0, top, sizes.sum()) >> rng.integers(0, 24, sizes.sum())).astype(np.uint32)
+    code, cuts = tf.Code(bits), np.cumsum(sizes)[:-1]
+    assert code.encode_many(x, sizes) == [code.encode(part) for part in np.split(x, cuts)]
+    assert code.encode_many(x[:0], sizes[:0]) == []
+
+
 @pytest.fixture
 def small(monkeypatch):
     monkeypatch.setattr(tf, "SHARD_IDS", 2000)
