@@ -142,7 +142,8 @@ def exact_duplicates(rows: DataFrame, key: str, id_col: str = "doc_id", bits_per
     flagged = hashed.withColumn(flag, test(F.col(h)))
     single = (flagged.where(~F.col(flag))
               .withColumns({"keep_id": F.col(id_col), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)}))
-    meet = materialise(flagged.where(F.col(flag)).withColumn(rid, F.monotonically_increasing_id()))
+    # Without the flag's column: beside the filter it would be a second Python step in each task, with a worker of its own.
+    meet = materialise(flagged.where(F.col(flag)).drop(h, flag).withColumn(rid, F.monotonically_increasing_id()))
     top, same = fresh(rows, "top"), fresh(rows, "key")
     # Stored, so that the join deals out both sides itself and can split the rows of a hot group over tasks.
     groups = materialise(meet.groupBy(F.col(key).alias(same))

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 
+from raregrain.functions.scratch import materialise
 from raregrain.llm import exact
 from raregrain.llm.exact import cells, drop_duplicates, exact_duplicates, maybe_repeated, repeated_filter
 
@@ -64,3 +65,16 @@ def test_filter_is_bounded():
     assert exact.MAX_BITS // 8 <= 1 << 24
     at = cells(np.arange(100, dtype=np.uint64), 1024)
     assert at.shape == (exact.HASHES, 100) and at.max() < 1024
+
+
+def test_no_task_asks_the_filter_twice(spark, monkeypatch):
+    plans = []
+
+    def noted(df):
+        plans.append(df)
+        return materialise(df)
+    monkeypatch.setattr(exact, "materialise", noted)
+    docs = materialise(documents(spark, [(i, f"Text {i % 7}") for i in range(40)]))
+    plans.append(drop_duplicates(docs))
+    steps = [df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython [") for df in plans]
+    assert steps[0] == 1 and max(steps) == 1, steps
