@@ -8,7 +8,8 @@ that can matter. The transducer holds a buffer of a few times that many symbols;
 that end before the lookahead are final and leave it. Normalising and splitting
 stream as well, so a text without a single space needs no more memory than a short one.
 
-Words that come again and again are remembered with the transducer's answer, in a bounded memory.
+Words that come again and again are remembered with the transducer's answer, in a bounded memory; a word
+with closing punctuation, or in capitals, takes the answer of the word alone.
 
 Handled tokenizer files: BPE models without byte fallback; normaliser none, or
 a sequence of NFC, ``\\s+`` to one space and lower case; byte-level symbols behind the
@@ -27,6 +28,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,7 +37,7 @@ from tokenizers import Tokenizer
 
 from .common import bounded_batches, query, table, worker_memory
 from .tokenfiles import word_path
-from .tokens import WHITE, ChunkMemory, byte_symbols, white_chunks
+from .tokens import CLOSING, MEMORY, WHITE, ChunkMemory, byte_symbols, white_chunks
 
 _IDS = 1 << 24  # more than any vocabulary has
 SHORT = 64  # chunks up to this length are remembered
@@ -147,7 +149,7 @@ class Rules:
     def merged(self, ids: list[int]) -> list[int]:
         """All merges of a run of symbols, the lowest rank first, left to right."""
         get, none = self.ranked.get, self.none
-        ranks = [get(p, none) for p in zip(ids, ids[1:])]
+        ranks = list(map(get, zip(ids, ids[1:]), repeat(none)))
         while ranks:
             best = min(ranks)
             if best == none:
@@ -168,7 +170,7 @@ class Rules:
         inner = self.inner
         ids = [inner[b] for b in raw]
         ids[-1] = self.final[raw[-1]]
-        return self.merged(ids)
+        return self.merged(ids) if len(ids) > 1 else ids
 
 
 class WordTransducer:
@@ -360,20 +362,56 @@ class Codec:
         if rules.bytes_mode:
             raise ValueError("decoded chunks of a byte-level decoder do not stand alone")
         self.rules, self.memory = rules, ChunkMemory(self._make)
-
-    def _make(self, chunks: list[str]) -> list[tuple[tuple[int, ...], str, str]]:
+        self.words = ChunkMemory(self._words, MEMORY // 2)
+        self.tails: dict[str, tuple[str, str]] = {}
+        self.cuts = not any(s.rstrip(CLOSING).isalpha() for s in rules.special)
+
+    def _said(self, ids: list[int]) -> tuple[str, str]:
+        return " ".join(map(str, ids)), decode(self.rules, ids)
+
+    def _words(self, words: list[str]) -> list[tuple[str, str]]:
+        return [self._said(self.rules.word(w.encode())) for w in words]
+
+    def _cut(self, chunk: str) -> tuple[str | None, str]:
+        """(normalised letters, closing punctuation), which the splitter parts as well; None for any other chunk."""
+        core = chunk.rstrip(CLOSING)
+        if not core.isalpha() or len(chunk) > SHORT or not self.cuts:
+            return None, ""
+        word = core.lower() if core.isascii() else self.rules.normalised(core)
+        return (word, chunk[len(core):]) if word.isalpha() else (None, "")
+
+    def _tail(self, tail: str) -> tuple[str, str]:
+        if tail not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails = {}
+            number, said = self._said(encode_chunk(self.rules, tail))
+            self.tails[tail] = f" {number}", f" {said}"
+        return self.tails[tail]
+
+    def _make(self, chunks: list[str]) -> list[tuple[str, str]]:
+        cut = [self._cut(c) for c in chunks]
+        known = self.words.prepare({w for w, _ in cut if w is not None})
         out = []
-        for c in chunks:
-            ids = tuple(encode_chunk(self.rules, c))
-            out.append((ids, " ".join(map(str, ids)), decode(self.rules, ids)))
+        for c, (word, tail) in zip(chunks, cut):
+            if word is None:
+                out.append(self._said(encode_chunk(self.rules, c)))
+            elif tail:
+                (number, said), (more, closing) = known[word], self._tail(tail)
+                out.append((number + more, said + closing))
+            else:
+                out.append(known[word])
         return out
 
-    def run(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, str]]]:
-        """(ids, decimal ids, decoded text) of each chunk of each text."""
+    def run(self, texts: list[str]) -> Iterator[list[tuple[str, str]]]:
+        """(decimal ids, decoded text) of each chunk that has ids, of each text."""
         cut = [white_chunks(t) for t in texts]
-        known = self.memory.prepare({c for cs in cut for c in cs if len(c) <= SHORT})
+        every = set().union(*cut)
+        long = {c for c in every if len(c) > SHORT}
+        known = self.memory.prepare(every - long)
         for cs in cut:
-            yield [known[c] if len(c) <= SHORT else self._make([c])[0] for c in cs]
+            found = (map(known.__getitem__, cs) if long.isdisjoint(cs)
+                     else [self._make([c])[0] if c in long else known[c] for c in cs])
+            yield [x for x in found if x[0]]
 
 
 _CODECS: dict[str, Codec] = worker_memory("bpe codecs")
@@ -411,14 +449,13 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
     """``docs`` with ids (array<int>) and decoded (their text as the tokenizer file decodes them)."""
     return _scan(docs, path, text, [T.StructField("ids", T.ArrayType(T.IntegerType())),
                                     T.StructField("decoded", T.StringType())],
-                 lambda cs: ([i for ids, _, _ in cs for i in ids], " ".join(d for ids, _, d in cs if ids)))
+                 lambda cs: ([int(i) for ids, _ in cs for i in ids.split(" ")], " ".join([d for _, d in cs])))
 
 
-def _digests(cs: list[tuple[tuple[int, ...], str, str]]) -> tuple[int, str, str]:
-    cs = [c for c in cs if c[0]]
-    return (sum(len(ids) for ids, _, _ in cs),
-            hashlib.sha256(" ".join([n for _, n, _ in cs]).encode()).hexdigest(),
-            hashlib.sha256(" ".join([d for _, _, d in cs]).encode()).hexdigest())
+def _digests(cs: list[tuple[str, str]]) -> tuple[int, str, str]:
+    ids = " ".join([i for i, _ in cs])
+    return (ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+            hashlib.sha256(" ".join([d for _, d in cs]).encode()).hexdigest())
 
 
 @query("op6_bpe_round_trip")

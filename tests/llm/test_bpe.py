@@ -91,3 +91,17 @@ def test_documents(spark):
     assert sorted((str(r.doc_id), list(r.ids), r.decoded) for r in out) == want
     assert all(r.kept == "x" for r in out)
     assert bpe.encode_documents(documents(spark, []), word_path()).count() == 0
+
+
+def test_a_word_is_encoded_once_whatever_closes_it(monkeypatch):
+    tool = bpe.Codec(RULES)
+    seen, word = [], type(tool.rules).word
+    monkeypatch.setattr(type(tool.rules), "word", lambda self, raw: seen.append(raw) or word(self, raw))
+    texts = ["Zwörtchen zwörtchen, ZWÖRTCHEN!!! zwörtchen.***", "İx, ΣΑΣ. ǅa) it's, a1. x" + "y" * 80 + ".",
+             "zwo\u0308rtchen; x=\u0338. a\u0301. ﬁn! <unk>. [x]. 한글, \u1112\u1161\u11ab. !!! % ."]
+    got = list(tool.run(texts))
+    assert seen.count("zwörtchen".encode()) == 2  # once more in the text that is not composed
+    for text, cs in zip(texts, got):
+        ids = [int(i) for numbers, _ in cs for i in numbers.split(" ")]
+        assert ids == ids_of(text)
+        assert " ".join([d for _, d in cs]) == TOOL.decode(ids, skip_special_tokens=False)
