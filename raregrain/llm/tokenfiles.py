@@ -23,6 +23,7 @@ empty table gives a folder without shards and no rows; extra columns are ignored
 
 from __future__ import annotations
 
+import io
 import struct
 from collections.abc import Iterator
 
@@ -40,6 +41,7 @@ from .tokens import encoder
 MAGIC = b"RANKIDS1"
 BLOCK = 1 << 16
 SHARD_IDS = 1 << 23
+READ = 1 << 18  # ids that a reader decodes together
 END = 1
 _HEAD, _BLOCK, _FOOT = "<8sI", "<II", "<QQ8s"
 
@@ -89,7 +91,15 @@ class Code:
         return [(control[a:b], data[c:d]) for a, b, c, d in zip(first, first[1:], bytes_at, bytes_at[1:])]
 
     def decode(self, control: bytes, data: bytes, n: int) -> np.ndarray:
-        size = self.table[np.frombuffer(control, np.uint8)].ravel()[:n]
+        return self.decode_many(control, data, np.array([n], np.int64))
+
+    def decode_many(self, control: bytes, data: bytes, sizes: np.ndarray) -> np.ndarray:
+        """``decode`` of consecutive runs of the given sizes, in one go."""
+        ends = np.cumsum(sizes)
+        held = -(-sizes // self.fields)  # control bytes of a run
+        ahead = (np.cumsum(held) - held) * self.fields - (ends - sizes)  # fields left over in the runs before
+        fields = np.arange(int(sizes.sum())) + np.repeat(ahead, sizes)
+        size = self.table[np.frombuffer(control, np.uint8)].ravel()[fields]
         at = np.cumsum(size) - size
         raw = np.frombuffer(data, np.uint8)
         out = raw[at].astype(np.uint32)
@@ -103,18 +113,16 @@ def _encoded(docs: DataFrame, path: str, text: str, id_col: str, end: int) -> Da
     """(row, doc_id, n, ids): ids as little-endian bytes of the least whole width, stored once."""
     kind = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n", T.LongType()),
                          T.StructField("ids", T.BinaryType())])
-    tail = np.array([end], "<u4").tobytes()
+    narrow = max(encoder(path).tokenizer.get_vocab_size(), end + 1) <= 1 << 16
+    tail = np.array([end], "<u2" if narrow else "<u4").tobytes()
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = encoder(path)
-        narrow = tool.tokenizer.get_vocab_size() <= 1 << 16
+        tool = encoder(path, code="H" if narrow else "I")
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 b = whole.slice(at, 256)
                 ids = [x + tail for x in tool.encode([t or "" for t in b.column(1).to_pylist()])]
-                n = [len(x) // 4 for x in ids]
-                if narrow:
-                    ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for x in ids]
+                n = [len(x) // (2 if narrow else 4) for x in ids]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.binary())],
                                                  names=kind.names)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(scan, kind)
@@ -256,23 +264,39 @@ def read_token_files(folder: str, shards: DataFrame) -> DataFrame:
                     head, bits = struct.unpack(_HEAD, f.read(struct.calcsize(_HEAD)))
                     if head != MAGIC:
                         raise ValueError(f"shard {shard} of {folder} is no token-id file")
-                    code, out, held = Code(bits), [], 0
+                    code, buffered = Code(bits), io.BufferedReader(f, 1 << 20)
+                    out, held, ready, waiting, runs = [], 0, [], 0, []
+
+                    def decoded() -> None:
+                        nonlocal waiting, runs
+                        if runs:
+                            n_, control, data = zip(*runs)
+                            ready.append(to_id[code.decode_many(b"".join(control), b"".join(data),
+                                                                np.array(n_, np.int64))].tobytes())
+                        waiting, runs = 0, []
+
+                    def rows() -> pa.RecordBatch:
+                        decoded()
+                        every, ends = b"".join(ready), np.cumsum([4 * r[2] for r in out]).tolist()
+                        cut = [every[x:y] for x, y in zip([0, *ends], ends)]
+                        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                            [*zip(*out), cut], (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=kind.names)
                     for d, gone, count, parts in zip(doc, null, ids, blocks):
-                        found = []
                         for _ in range(parts):
-                            k, size = struct.unpack(_BLOCK, f.read(struct.calcsize(_BLOCK)))
-                            control = f.read(-(-k // code.fields))
-                            found.append(to_id[code.decode(control, f.read(size), k)].tobytes())
-                        out.append((None if gone else d, start, count, b"".join(found)))
+                            k, size = struct.unpack(_BLOCK, buffered.read(struct.calcsize(_BLOCK)))
+                            body = buffered.read(-(-k // code.fields) + size)
+                            runs.append((k, body[:-size] if size else body, body[len(body) - size:]))
+                            waiting += k
+                            if waiting >= READ:
+                                decoded()
+                        out.append((None if gone else d, start, count))
                         start += count
                         held += count
-                        if held > 1 << 20:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                                zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=kind.names)
-                            out, held = [], 0
+                        if held >= READ:
+                            yield rows()
+                            out, held, ready = [], 0, []
                     if out:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                            zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=kind.names)
+                        yield rows()
     return todo.repartition(max(1, len(files)), "shard").mapInArrow(read, kind)
 
 

@@ -31,7 +31,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 CLOSING = ".,;:!?*#&%$)\""  # one piece behind a word for both splitters; no apostrophe, no part of a special token
 _WHITE = re.compile(f"[{WHITE}]+")
 _BORDER = re.compile(r"(?<=\S)(?= \S)")
-_ENCODERS: dict[str, "ChunkEncoder"] = worker_memory("tokens")
+_ENCODERS: dict[tuple[str, str], "ChunkEncoder"] = worker_memory("tokens")
 
 
 def byte_symbols() -> list[str]:
@@ -94,9 +94,9 @@ class ChunkMemory:
 
 
 class ChunkEncoder:
-    """texts -> token ids as little-endian unsigned 32-bit bytes, no special tokens added."""
+    """texts -> token ids as little-endian unsigned 32-bit bytes (16-bit with ``code`` H), no special tokens added."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, code: str = "I"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
@@ -106,12 +106,13 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.symbols = dict(enumerate(byte_symbols()))
-        self.tails = {"": b""}
+        self.code, self.tails = code, {"": b""}
         self.plain = ChunkMemory(self._chunks)
         self.spaced = ChunkMemory(self._after_space)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def _word(self, chunk: str, before: str) -> bytes | None:
         """Ids of letters with closing punctuation; None for any other chunk. ``before`` is "" or a space."""
@@ -135,7 +136,7 @@ class ChunkEncoder:
             core = low
         if before or not core.isascii():
             core = (before + core).encode().decode("latin-1").translate(self.symbols)
-        return array("I", [t.id for t in self.model.tokenize(core)]).tobytes() + self.tails[tail]
+        return array(self.code, [t.id for t in self.model.tokenize(core)]).tobytes() + self.tails[tail]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         if self.kind == "whole":
@@ -168,10 +169,10 @@ class ChunkEncoder:
         return self.ids(texts)
 
 
-def encoder(path: str, memory: int = MEMORY) -> ChunkEncoder:
+def encoder(path: str, memory: int = MEMORY, code: str = "I") -> ChunkEncoder:
     """The worker's encoder of a tokenizer file; it remembers ``memory`` chunks a generation."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    tool = _ENCODERS[path]
+    if (path, code) not in _ENCODERS:
+        _ENCODERS[path, code] = ChunkEncoder(path, code)
+    tool = _ENCODERS[path, code]
     tool.plain.limit = tool.spaced.limit = memory
     return tool

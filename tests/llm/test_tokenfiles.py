@@ -31,6 +31,8 @@ def test_runs_coded_together_are_those_coded_alone(bits, top):
     code, cuts = tf.Code(bits), np.cumsum(sizes)[:-1]
     assert code.encode_many(x, sizes) == [code.encode(part) for part in np.split(x, cuts)]
     assert code.encode_many(x[:0], sizes[:0]) == []
+    control, data = map(b"".join, zip(*code.encode_many(x, sizes)))
+    assert np.array_equal(code.decode_many(control, data, sizes), x)
 
 
 @pytest.fixture
@@ -89,3 +91,18 @@ def test_a_broken_file_is_refused(spark, small):
         f.write(b"0" * 200)
     with pytest.raises(Exception, match="no token-id file"):
         tf.read_token_files(folder, shards).collect()
+
+
+def test_a_reader_decodes_parts_of_documents_and_many_documents(spark, small, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 400 if i == 3 else rng.randrange(0, 60))) for i in range(40)]
+    folder, shards, out = written(spark, rows)
+    monkeypatch.setattr(tf, "READ", 150)
+    assert sorted(tf.read_token_files(folder, shards).collect()) == sorted(out)
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in out} == {i: ids_of(t) for i, t in rows}
+
+
+def test_an_end_id_beyond_two_bytes_stays_whole(spark):
+    folder = shared_uri(spark)
+    shards = tf.write_token_files(materialise(documents(spark, [(1, "a b")])), folder, tf.word_path(), end=70_000)
+    assert np.frombuffer(tf.read_token_files(folder, shards).first().ids, "<u4").tolist() == [*ids_of("a b")[:-1], 70_000]
