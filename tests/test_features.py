@@ -1,5 +1,6 @@
 """Exact values of the learned transforms on a seven-row frame."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +132,35 @@ def test_fold_features_equal_separate_fits(spark, toy):
         b = {r["row_id"]: list(r["features"].toArray().round(9)) for r in ff.encoded(f).collect()}
         assert X.feature_names(m) == ff.encoder(f).feature_names
         assert a == b
+
+
+def test_groups_of_folds_are_fitted_together_and_encoded_in_one_scan(spark):
+    from raregrain.operators import penalised as P
+    rng = np.random.default_rng(8)
+    n, area = 240, spark.createDataFrame([("A", "north"), ("B", "south")], "country string, macro_area string")
+    pick = lambda *v: [v[i] for i in rng.integers(0, len(v), n)]
+    d = spark.createDataFrame(
+        [(i, int(a), c, s, al, m, int(x), int(y), v, p, co, f, g) for i, (a, c, s, al, m, x, y, v, p, co, f, g) in enumerate(zip(
+            rng.integers(0, 2, n), pick("A", "B", "C", None), pick("s", "t", None), pick(1.0, 7.5, 30.0, None), pick(0.1, 0.2, None),
+            rng.integers(0, 3, n), rng.integers(0, 4, n), pick(*"abcdefghijklmn"), pick("Urgent", "High", None), pick("o", "f"),
+            pick(0, 1, None), pick(-1, 0)))],
+        "row_id long, label int, country string, subregion string, altitude double, moisture double, c1 int, c2 int, "
+        "variety string, processing string, color string, fold int, outer int")
+    both = X.FoldFeatures(d, area, [-1, 0, 1], group="outer", reference={"color": "o"})
+    packed = P.pack_features(both, {both.code(o, f): 10 * (o + 1) + f + 1 for o in (-1, 0) for f in (-1, 0, 1)})
+    blocks = [(r["design"], r["learn"], P.pickle.loads(r["body"])) for r in packed.blocks.collect()]
+    for o in (-1, 0):
+        alone = X.FoldFeatures(d.where(F.col("outer") == o).drop("outer"), area, [-1, 0, 1], reference={"color": "o"})
+        for f in (-1, 0, 1):
+            want = {r["row_id"]: (r["fold"], r["features"].toArray()) for r in alone.encoded(f).collect()}
+            seen = {}
+            for learn, b in ((learn, b) for design, learn, b in blocks if design == 10 * (o + 1) + f + 1):
+                width = len(b[0]) + len(b[1])
+                for i, row in enumerate(b[6]):
+                    x = np.zeros(width)
+                    x[b[0]], x[b[1]] = b[2][:, i], b[4][np.searchsorted(b[3], i, side="right") - 1]
+                    seen[int(row)] = (learn, x)
+            assert seen.keys() == want.keys()
+            for row, (fold, x) in want.items():
+                assert np.allclose(seen[row][1], x, atol=1e-12)
+                assert seen[row][0] == (fold is not None and fold != f)
