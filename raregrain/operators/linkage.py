@@ -2,8 +2,9 @@
 
 In a round every component takes its shortest edge to another one; ties go to the smaller ids, so no cycle arises.
 While lists of nearest neighbours decide that edge (it is shorter than all that any list of the component leaves out)
-a round is a few joins on the lists. What is left then looks for its nearest foreign point over the box tree: box pairs
-inside one component, or farther apart than the best edge known, are dropped. A round halves the components at least.
+a round is a few joins on the lists. What is left, but for the largest component, then looks for its nearest foreign point
+among the leaves of the box tree: leaf pairs inside one component, or farther apart than the best edge known, are passed
+over. A round with a search halves the components at least.
 
 The edges in the order of their length are the merges, and the components over the edges up to a height are the
 clusters cut there.
@@ -13,12 +14,14 @@ from __future__ import annotations
 
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import value_rank
 from ..functions.scratch import materialise
-from .spatial import Tree, _ancestors, _blocks, _distances, _refine, _tile_rows, connected_components, nearest
+from .spatial import GROUP, Leaf, Tree, connected_components, dealt, leaf_files, middle, nearest, read_leaves, stored_leaves
 
 EDGE = ["dist", "a", "b"]
 SLACK = 1 + 1e-9  # against rounding of bounds
@@ -60,42 +63,67 @@ def _reach(tree: Tree, points: DataFrame, lists: DataFrame) -> DataFrame:
     return known.groupBy("comp").agg(F.min("dist").alias("reach"))
 
 
-def _searched(tree: Tree, comp: DataFrame, lists: DataFrame) -> DataFrame:
-    """The least edge of each component, by search over the box tree."""
+def _searched(tree: Tree, comp: DataFrame, lists: DataFrame, seen: DataFrame) -> DataFrame:
+    """The least edge of each component but the largest, whose edges the others find.
+
+    Points that have ``seen`` farther than a length known for their component have nothing nearer outside their list; the
+    others look through the leaves, which each task reads past its own.
+    """
     points = materialise(tree.points.join(comp, "pid"))
-    held = points.join(_reach(tree, points, lists), "comp").groupBy("leaf").agg(
-        F.min("comp").alias("least"), F.max("comp").alias("most"), F.max("reach").alias("reach"))
-    info = materialise(_ancestors(tree, held, "leaf").join(held, "leaf").groupBy(F.col("up").alias("node")).agg(
-        F.min("least").alias("least"), F.max("most").alias("most"), F.max("reach").alias("reach")))
-    q = info.select(F.col("node").alias("q_node"), F.col("least").alias("q_least"), F.col("most").alias("q_most"), "reach")
-    c = info.select(F.col("node").alias("c_node"), F.col("least").alias("c_least"), F.col("most").alias("c_most"))
-
-    def decide(d):
-        one = (F.col("q_least") == F.col("q_most")) & (F.col("c_least") == F.col("c_most")) & (F.col("q_least") == F.col("c_least"))
-        far = tree.space.min_sq("q_", "c_") > F.col("reach") * F.col("reach") * SLACK
-        return d.join(q, "q_node").join(c, "c_node").withColumns({"drop": one | far, "accept": F.lit(False)})
-    _, tiles = _refine(tree, decide)
-    here = replace(tree, points=points)
-    sq = _distances(tree.space)
-
-    def least(batches):
-        import numpy as np
-        import pandas as pd
-        for pdf in batches:
-            for row in pdf.to_dict("records"):
-                mine, theirs = np.asarray(row["q_comp"]), np.asarray(row["c_comp"])
-                p, o = np.asarray(row["q_pid"]), np.asarray(row["c_pid"])
-                d = np.where(mine[:, None] == theirs[None, :], np.inf, np.sqrt(sq(row)))
-                j = d.argmin(axis=1)  # the first is the smallest id
-                best = d[np.arange(len(p)), j]
-                a, b = np.minimum(p, o[j]), np.maximum(p, o[j])
-                order = np.lexsort((b, a, best, mine))
-                order = order[np.flatnonzero(np.r_[True, mine[order][1:] != mine[order][:-1]])]
-                order = order[np.isfinite(best[order])]
-                yield pd.DataFrame({"comp": mine[order], "dist": best[order], "a": a[order], "b": b[order],
-                                    "to": theirs[j][order]})
-    blocks = _tile_rows(tiles, _blocks(here, "q_", ("comp",)), _blocks(here, "c_", ("comp",)))
-    return _shortest(blocks.mapInPandas(least, "comp long, dist double, a long, b long, to long"))
+    large = comp.groupBy("comp").count().orderBy(F.desc("count"), "comp").first()["comp"]
+    reach = materialise(_reach(tree, points, lists).where(F.col("comp") != large))
+    look = points.join(reach, "comp").join(seen, "pid").where(F.col("seen") <= F.col("reach") * SLACK)
+    space, mid = tree.space, middle(tree)
+    leaves, mine = stored_leaves(tree, points, ("comp",)), stored_leaves(tree, look, ("comp", "reach"))
+    files, columns = leaves.inputFiles(), leaves.columns
+
+    def closer(q: Leaf, best: dict, c: Leaf) -> None:
+        """Take shorter edges between ``q`` and ``c`` into ``best``: {component: (dist, a, b, other component)}."""
+        own, other = q.more["comp"], c.more["comp"]
+        if len(q.more["names"]) == 1 and (other == own[0]).all():
+            return
+        known = np.array([best[v][0] if v in best else np.inf for v in q.more["names"]])[q.more["at"]]
+        limit = (np.minimum(known, q.more["reach"]) * SLACK) ** 2
+        if q.apart(c) > limit.max():
+            return
+        rough, off = q.roughly(c)
+        rough[own[:, None] == other[None, :]] = np.inf
+        near = np.full(len(q.more["names"]), np.inf)
+        np.minimum.at(near, q.more["at"], rough.min(axis=1) + q.norm + off)
+        limit = np.minimum(limit, near[q.more["at"]])
+        i, j = np.nonzero(rough <= (limit - q.norm + off)[:, None])
+        d, p, o = q.distances(i, c, j), q.pid[i], c.pid[j]
+        low, high = np.minimum(p, o), np.maximum(p, o)
+        order = np.lexsort((high, low, d, q.more["at"][i]))
+        for x in order[np.unique(q.more["at"][i][order], return_index=True)[1]]:
+            name, edge = int(own[i[x]]), (float(d[x]), int(low[x]), int(high[x]), int(other[j[x]]))
+            best[name] = min(best.get(name, edge), edge)
+
+    def work(batches):
+        def out(group: list[Leaf]):
+            best: dict = {}
+            for q in group:
+                q.more["names"], q.more["at"] = np.unique(q.more["comp"], return_inverse=True)
+            for c in read_leaves(space, mid, leaf_files(files, columns), ("comp",)):
+                c.more["comp"] = c.more["comp"].to_numpy()
+                for q in group:
+                    closer(q, best, c)
+            if best:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(best), pa.int64()), *[pa.array(v, t) for v, t in zip(zip(*best.values()), (
+                        pa.float64(), pa.int64(), pa.int64(), pa.int64()))]], names=["comp", *EDGE, "to"])
+        group: list[Leaf] = []
+        for q in read_leaves(space, mid, batches, ("comp", "reach")):
+            q.more = {n: v.to_numpy(zero_copy_only=False) for n, v in q.more.items()}
+            group.append(q)
+            if sum(len(v.pid) for v in group) >= GROUP:
+                yield from out(group)
+                group = []
+        if group:
+            yield from out(group)
+    found = dealt(tree, mine).mapInArrow(work, "comp long, dist double, a long, b long, to long")
+    listed = lists.where(F.col("comp") != large).select("comp", *EDGE, "to")
+    return _shortest(found.unionByName(listed))
 
 
 def spanning_tree(tree: Tree, k: int = 8) -> DataFrame:
@@ -106,7 +134,7 @@ def spanning_tree(tree: Tree, k: int = 8) -> DataFrame:
     points = tree.points.withColumn("weight", F.lit(1).cast("long"))
     alone = replace(tree, points=points, rows=points.select(F.col("pid").alias("id"), "pid"),
                     nodes=tree.nodes.withColumn("weight", F.col("n_points")))
-    near = materialise(nearest(alone, k + 1).select("pid", "neighbours.id", "neighbours.dist"))
+    near = materialise(nearest(alone, k + 1, False).select("pid", "neighbours.id", "neighbours.dist"))
     lists = materialise(near.select("pid", F.explode(F.arrays_zip("id", "dist")).alias("n"))
                         .select("pid", F.col("n.id").alias("other"), F.col("n.dist").alias("dist")).where("pid <> other"))
     seen = near.select("pid", F.when(F.size("id") > k, F.array_max("dist")).otherwise(F.lit(FAR)).alias("seen"))
@@ -121,7 +149,7 @@ def spanning_tree(tree: Tree, k: int = 8) -> DataFrame:
             chosen = materialise(_shortest(labelled).join(sure, "comp").where("dist < seen").drop("seen"))
             by_lists = not chosen.isEmpty()
         if not by_lists:
-            chosen = materialise(_searched(alone, comp, labelled))
+            chosen = materialise(_searched(alone, comp, labelled, seen))
         edges = edges.unionByName(chosen.select("a", "b", "dist").distinct())
         comp = _merged(comp, chosen)
         lists = labelled.select("pid", "other", "dist")

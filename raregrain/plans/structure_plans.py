@@ -138,7 +138,7 @@ SELECT id, rank::INT AS rank, other AS neighbour, round(d, 6) + 0.0 AS dist FROM
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY round(d, 12), other) AS rank FROM pr) WHERE rank <= 5""")
 def _(spark, sf):
     """The five nearest other rows by all components of the vectors."""
-    return rounded(P.knn(whole_tree(spark, sf), 5).drop("xs"))
+    return rounded(P.knn(whole_tree(spark, sf), 5, coordinates=False))
 
 
 LOT_COLUMNS = ["altitude", "moisture", "c1", "c2", "latitude", "longitude"]

@@ -111,3 +111,16 @@ def test_long_chain_is_one_component(spark):
     e = spark.range(200).selectExpr("id AS a", "id + 1 AS b")
     c = P.connected_components(e, spark.range(210).selectExpr("id AS v")).toPandas()
     assert (c[c["v"] <= 200]["comp"] == 0).all() and (c[c["v"] > 200]["comp"] == c[c["v"] > 200]["v"]).all()
+
+
+def test_neighbours_meet_in_tasks_and_pairs_are_not_exchanged(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(90, 4)) + 1e6  # a far origin costs no digits
+    x[70:] = x[3]
+    df = spark.createDataFrame(pd.DataFrame({"row": np.arange(90), **{f"x{i}": x[:, i] for i in range(4)}}))
+    near = P.nearest(P.build_tree(df, "row", P.Space([f"x{i}" for i in range(4)]), 8), 5, False)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan and "Window" not in plan and "xs" not in near.schema.simpleString()
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    got = {r["pid"]: [n["id"] for n in r["neighbours"]] for r in near.collect()}
+    assert got == {i: list(np.lexsort((np.arange(90), d[i]))[:5]) for i in range(70)}
