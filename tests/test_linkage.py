@@ -61,3 +61,20 @@ def test_one_point_has_no_merges(spark):
     assert K.spanning_tree(build(spark, np.zeros((1, 2)))).count() == 0
     copies = K.spanning_tree(build(spark, np.zeros((4, 2)))).toPandas()
     assert sorted(zip(copies["a"], copies["b"], copies["dist"])) == [(0, 1, 0.0), (0, 2, 0.0), (0, 3, 0.0)]
+
+
+def test_a_search_leaves_out_the_largest_component_and_finds_the_edges_of_the_others(spark):
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(0, 1, (40, 2)), rng.normal(12, 1, (9, 2)), [[30.0, 0.0]]])
+    tree = build(spark, x)
+    name = np.repeat([0, 40, 49], [40, 9, 1])
+    comp = spark.createDataFrame([(i, int(c)) for i, c in enumerate(name)], "pid long, comp long")
+    none = spark.createDataFrame([], "pid long, other long, dist double, comp long, to long, a long, b long")
+    seen = comp.select("pid", K.F.lit(0.0).alias("seen"))
+    got = {r["comp"]: (r["dist"], r["a"], r["b"], r["to"]) for r in K._searched(tree, comp, none, seen).collect()}
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    assert got.keys() == {40, 49}
+    for c, (dist, a, b, to) in got.items():
+        away = np.where((name == c)[:, None] & (name != c)[None], d, np.inf)
+        i, j = np.unravel_index(away.argmin(), away.shape)
+        assert np.isclose(dist, away.min()) and {a, b} == {i, j} and to == name[j]
